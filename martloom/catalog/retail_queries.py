@@ -163,7 +163,7 @@ def join_right(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     transactions = _strict(spark, sf_dir, "transactions").select("customer_id", "invoiceid", "price")
     customers = _strict(spark, sf_dir, "customer").select("customer_id", "customername")
-    return joins.equi_join(transactions, customers, ["customer_id"], "full")
+    return joins.equi_join(transactions, customers, ["customer_id"], "full", hot="left")
 
 
 @register(

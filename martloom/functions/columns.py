@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 CUSTOMER_TYPE_WORDS = ("citizen", "foriegn")
 
 
+# Fixed value: what a cast to integer accepts, with control characters and blanks around it.
+INTEGER_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+
+
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -40,7 +44,9 @@ def int_or_null(value: Column | str, rounding: bool = False) -> Column:
     text = _col(value)
     if rounding:
         return F.round(text.try_cast("decimal(38,10)"), 0).try_cast("int")
-    return text.try_cast("int")
+    # A failed cast is an exception inside the engine, caught and paid for per row; the pattern keeps
+    # everything but overflows away from it.
+    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("int"))
 
 
 def date_or_null(value: Column | str) -> Column:

@@ -14,43 +14,52 @@ _FOLDED = "_folded_"
 
 
 def equi_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", ignore_case: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    ignore_case: bool = False,
+    hot: str = "both",
 ) -> DataFrame:
     """Join on equally named keys; ``how`` is inner, left, right or full.
 
     A key value holding a large share of the rows is cut into several tasks by adaptive execution, on either
-    side of an inner join and on the kept side of a one-sided outer join. That does not exist for full joins, so a
-    full join is put together from the matches and each side's rows without a match; the latter need only the
-    other side's distinct keys, which are reduced before they are shuffled.
+    side of an inner join and on the kept side of a one-sided outer join. It cannot do so for a full join, which is
+    therefore put together from joins for which it can. ``hot`` tells which side may have such keys: with one
+    side ruled out (``left`` or ``right`` may have them) two joins are enough, otherwise it takes three.
 
     With ``ignore_case``, text keys match regardless of case and the left spelling is kept where there is one.
     """
+    if hot not in ("left", "right", "both"):
+        raise ValueError("hot is 'left', 'right' or 'both'")
     if ignore_case:
-        return _join_folded(left, right, list(keys), how)
+        return _join_folded(left, right, list(keys), how, hot)
     if how == "full":
-        return _full_join(left, right, list(keys))
+        return _full_join(left, right, list(keys), hot)
     return left.join(right, list(keys), how)
 
 
-def _full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    left_keys = left.select(*keys).distinct()
-    right_keys = right.select(*keys).distinct()
-    matched = left.join(right, keys, "inner")
-    only_left = left.join(right_keys, keys, "left_anti")
-    only_right = right.join(left_keys, keys, "left_anti")
-    return matched.unionByName(only_left, allowMissingColumns=True).unionByName(
-        only_right, allowMissingColumns=True
-    ).select(*matched.columns)
+def _full_join(left: DataFrame, right: DataFrame, keys: list[str], hot: str) -> DataFrame:
+    """Rows without a match are found against the other side's distinct keys, reduced before they are shuffled."""
+    columns = [*keys, *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys]]
+    left_only = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    right_only = right.join(left.select(*keys).distinct(), keys, "left_anti")
+    parts = {
+        "left": [left.join(right, keys, "left"), right_only],
+        "right": [left.join(right, keys, "right"), left_only],
+        "both": [left.join(right, keys, "inner"), left_only, right_only],
+    }[hot]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*columns)
 
 
-def _join_folded(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+def _join_folded(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: str) -> DataFrame:
     kinds = dict(left.dtypes)
 
     def folded(frame: DataFrame, spelling: str) -> DataFrame:
         tests = {_FOLDED + k: fold_case(k) if kinds[k] == "string" else F.col(k) for k in keys}
         return frame.withColumns(tests).withColumnsRenamed({k: spelling + k for k in keys})
 
-    joined = equi_join(folded(left, "_left_"), folded(right, "_right_"), [_FOLDED + k for k in keys], how)
+    joined = equi_join(folded(left, "_left_"), folded(right, "_right_"), [_FOLDED + k for k in keys], how, hot=hot)
     spelled = [F.coalesce(F.col("_left_" + k), F.col("_right_" + k)).alias(k) for k in keys]
     others = [c for c in (*left.columns, *right.columns) if c not in keys]
     return joined.select(*spelled, *others)

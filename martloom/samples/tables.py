@@ -16,8 +16,23 @@ RETAIL_RUN = RunContext.start(RETAIL_JOB, run_ts=RUN_TS)
 POLICY_RUN = RunContext.start(POLICY_JOB, run_ts=RUN_TS, run_date=POLICY_RUN_DATE)
 
 
+# The columns of the input tables, declared so that no job has to look them up in the files.
+_INPUTS = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_INPUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _every(column: str, step: int, offset: int = 0) -> Column:
@@ -52,15 +67,21 @@ def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retail_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
-    nations = read(spark, sf_dir, "nation")
+    # The nation table has 25 rows at every scale, so it can be one map value. As a join it would also make the
+    # optimizer overestimate the size of this small table, and shuffle the fact for it.
+    nations = (
+        read(spark, sf_dir, "nation")
+        .agg(F.map_from_entries(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("names"))
+        .scalar()
+    )
     return (
         read(spark, sf_dir, "supplier")
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+        .filter(F.map_contains_key(nations, F.col("s_nationkey")))
         .select(
             key.cast("int").alias("stockid"),
             F.col("s_name").alias("name"),
             F.when(~_every("s_suppkey", 37, 9), (key % 7).cast("int")).alias("rating"),
-            F.col("n_name").alias("location"),
+            nations[F.col("s_nationkey")].alias("location"),
             F.floor(F.col("s_acctbal") / 10).cast("int").alias("noofemployees"),
         )
     )
@@ -81,7 +102,9 @@ def transactions_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    shipped = F.col("l_shipdate")
+    shipped = F.col("l_shipdate").cast("date")
+    # Cheaper than a format pattern, and the same text for years of four digits.
+    digits = F.year(shipped) * 10000 + F.month(shipped) * 100 + F.day(shipped)
     return (
         read(spark, sf_dir, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -97,8 +120,8 @@ def transactions_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(_every("l_orderkey", 73), 0)
             .otherwise(F.col("l_quantity").cast("int"))
             .alias("quantity"),
-            F.when(_every("l_orderkey", 10), F.date_format(shipped, "yyyy-MM-dd"))
-            .otherwise(F.date_format(shipped, "yyyyMMdd"))
+            F.when(_every("l_orderkey", 10), shipped.cast("string"))
+            .otherwise(digits.cast("string"))
             .alias("invoice_date"),
             F.when(_every("l_orderkey", 83), -1)
             .otherwise(F.floor("l_extendedprice").cast("int"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.copies import collapse_copies, expand_copies
@@ -23,18 +24,16 @@ def refresh_path(df: DataFrame, path: str) -> None:
 def clustered(df: DataFrame, keys: Sequence[str], split_copies: bool = False) -> DataFrame:
     """Range-partition and sort by the keys, so that row-group statistics let scans skip by them.
 
-    The remaining columns follow the keys in the range order: a key value that holds a large share of the rows is
-    then cut across tasks. Equal rows cannot be cut that way; ``split_copies`` also spreads those, for one
-    more shuffle.
+    A hash of the whole row follows the keys in the range order: a key value that holds a large share of the
+    rows is then cut across tasks. Equal rows cannot be cut that way; ``split_copies`` also spreads those, for
+    one more shuffle.
     """
-    if not df.columns:
-        return df
-    order = [*keys, *[c for c in df.columns if c not in keys]]
+    spread = F.xxhash64(*df.columns)
     if split_copies:
         packed = collapse_copies(df)
-        spread = packed.repartitionByRange(*order, "_chunk").sortWithinPartitions(*order)
-        return expand_copies(spread).select(*df.columns)
-    return df.repartitionByRange(*order).sortWithinPartitions(*keys)
+        cut = packed.repartitionByRange(*keys, spread, "_chunk").sortWithinPartitions(*keys)
+        return expand_copies(cut).select(*df.columns)
+    return df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
 
 
 def append_rows(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:

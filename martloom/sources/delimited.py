@@ -45,6 +45,10 @@ class DelimitedFormat:
             "dateFormat": self.date_format,
             "columnNameOfCorruptRecord": _BAD,
         }
+        if self.charset.lower().startswith(("utf-16", "utf-32")):
+            # Lines of wide characters cannot be told apart by bytes, so such a file is decoded as a whole, in one
+            # stream and one task per file.
+            chosen["multiLine"] = "true"
         if self.line_separator:
             chosen["lineSep"] = self.line_separator
         return chosen
