@@ -14,6 +14,7 @@ from martloom.plans import audit, customer_audit, rejects, retail, scd2
 from martloom.sinks.delimited import write_delimited
 from martloom.sinks.tables import append_rows, clustered, drop_batch, read_table, refresh_path, replace_batch
 from martloom.sources.delimited import DelimitedFormat, scan_delimited
+from martloom.sources.files import existing_paths
 from martloom.sources.tables import due_policies
 
 _FILE_SCHEMAS = {
@@ -68,9 +69,12 @@ def run_retail_mart(
     root: str,
     run: RunContext,
     clock=datetime.now,
-    source_count_of_run_date: bool = False,
+    version: int = 3,
 ) -> None:
-    """Load the canonical mart under ``root`` with its rejects, audit rows and customer change records.
+    """Load one version of the mart under ``root``, with what that version keeps about its runs.
+
+    Version 1 logs start and end and counts the staged transactions. Versions 2 and 3 also store rejects and
+    customer changes and cluster the mart; 2 counts the transactions of the run date, 3 counts all.
 
     Every step can be repeated: the mart is refreshed, rejects and change records of the batch are replaced, and
     audit rows are appended, of which the latest counts. Row counts are observed while the rows are written.
@@ -78,28 +82,39 @@ def run_retail_mart(
     log = _table(root, "job_audit_log")
     append_rows(audit.started_row(spark, run), log, schemas.JOB_AUDIT_LOG)
     try:
-        # Counted after the range partitioning, which reads its input once more to sample it.
-        mart, loaded = counted(clustered(retail.mart_v3(sources, run), ["invoice_date", "customer_id"]), "loaded")
+        if version == 1:
+            mart, counted_source = retail.mart_v1(sources), retail.staged_v1(sources)["transactions"]
+        else:
+            # Counted after the range partitioning, which reads its input once more to sample it.
+            built = retail.mart_v2(sources, run) if version == 2 else retail.mart_v3(sources, run)
+            mart = clustered(built, ["invoice_date", "customer_id"])
+            everything = sources["transactions"]
+            counted_source = retail.dated_on(everything, run.run_date) if version == 2 else everything
+        mart, loaded = counted(mart, "loaded")
         refresh_path(mart, _table(root, "retail_data_mart"))
-
-        bad, rejected = counted(rejects.retail_rejects(sources, run), "rejected")
-        reject_table = _table(root, "job_rejects")
-        replace_batch(bad, reject_table, schemas.JOB_REJECTS)
-        if rejected.get["rows"] == 0:
-            drop_batch(spark, reject_table, run.job_name, run.batch_id)
-
-        transactions = sources["transactions"]
-        dated = retail.dated_on(transactions, run.run_date) if source_count_of_run_date else transactions
-        totals = dated.agg(F.count(F.lit(1)).alias("source_count")).withColumns(
-            {"target_inserts": F.lit(loaded.get["rows"]), "reject_count": F.lit(rejected.get["rows"])}
+        rejected_rows = 0 if version == 1 else store_rejects(spark, sources, root, run)
+        totals = counted_source.agg(F.count(F.lit(1)).alias("source_count")).withColumns(
+            {"target_inserts": F.lit(loaded.get["rows"]), "reject_count": F.lit(rejected_rows)}
         )
         append_rows(audit.completed(totals, run, clock()), log, schemas.JOB_AUDIT_LOG)
-        record_customer_changes(spark, sources["customer"], root, run)
+        if version > 1:
+            record_customer_changes(spark, sources["customer"], root, run)
     except Exception as error:
         append_rows(audit.failed_row(spark, run, clock(), str(error)), log, schemas.JOB_AUDIT_LOG)
         raise
 
 
+def store_rejects(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run: RunContext) -> int:
+    """Put this batch's rejects in place of those it may already have; returns how many there are."""
+    bad, rejected = counted(rejects.retail_rejects(sources, run), "rejected")
+    path = _table(root, "job_rejects")
+    replace_batch(bad, path, schemas.JOB_REJECTS)
+    rows = rejected.get["rows"]
+    if rows == 0:
+        drop_batch(spark, path, run.job_name, run.batch_id)
+    return rows
+
+
 def record_customer_changes(spark: SparkSession, customers: DataFrame, root: str, run: RunContext) -> None:
     """Add this batch's customer change records, in place of any it already has."""
     path = _table(root, "customer_dim_audit")
@@ -127,58 +142,66 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 # --- the audited policy load -------------------------------------------------------------------------------------
 
 
+# Added rows after they got their surrogate keys.
+_KEYED = "keyed"
+
+
+def _load_folder(root: str, load: str) -> str:
+    return _table(root, f"dim_policy/load={load}")
+
+
 def policy_dimension(spark: SparkSession, root: str) -> DataFrame:
-    """The dimension: the newest current image together with the rows closed by the loads so far."""
+    """The dimension: kept and added rows of the newest load, and the rows closed by each load so far."""
     commits = _table(root, "dim_policy_loads")
     if not path_exists(spark, commits):
         return spark.createDataFrame([], schemas.DIM_POLICY)
-    loads = read_table(spark, commits, schemas.POLICY_LOADS)
-    # One row per load ever made; the newest names the current image and all of them name history folders.
-    names = [row.load for row in loads.select("load").distinct().orderBy("load").collect()]
-    declared = schemas.DIM_POLICY
-    current = read_table(spark, _table(root, f"dim_policy/current/{names[-1]}"), declared)
-    history = read_table_folders(spark, [_table(root, f"dim_policy/history/{name}") for name in names])
-    return current.unionByName(history)
-
-
-def read_table_folders(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.schema(schemas.DIM_POLICY).parquet(*paths).select(*schemas.DIM_POLICY.names)
+    # One row per load ever made, so this list stays short. Load names sort by time.
+    rows = read_table(spark, commits, schemas.POLICY_LOADS).select("load").distinct().orderBy("load").collect()
+    loads = [row["load"] for row in rows]
+    folders = [f"{_load_folder(root, loads[-1])}/kind={kind}" for kind in (scd2.KEPT, _KEYED)]
+    folders += [f"{_load_folder(root, load)}/kind={scd2.CLOSED}" for load in loads]
+    present = existing_paths(spark, folders)
+    if not present:
+        return spark.createDataFrame([], schemas.DIM_POLICY)
+    return spark.read.schema(schemas.DIM_POLICY).parquet(*present).select(*schemas.DIM_POLICY.names)
 
 
 def run_policy_load(
     spark: SparkSession, policies: DataFrame, root: str, run: RunContext, log_path: str, clock=datetime.now
 ) -> None:
-    """One Type 2 load. Nothing that is read is overwritten: the load writes folders of its own and then commits.
+    """One Type 2 load. The source meets the dimension in a single join, whose result is written once.
 
-    Closed rows never change again, so they are written once, into the folder of the load that closed them;
-    only the current image is written anew. The load becomes visible with its row in ``dim_policy_loads``.
+    Nothing that is read is overwritten: a load writes a folder of its own, with kept, closed and added rows
+    apart, checks it, and becomes visible with its row in ``dim_policy_loads``. Closed rows never change again,
+    so later loads do not copy them. Only added rows are written a second time, with their surrogate keys.
     """
     log = _table(root, "etl_audit_log")
     append_rows(audit.started_row(spark, run), log, schemas.ETL_AUDIT_LOG)
     try:
         due = due_policies(policies, run.run_date)
         dimension = policy_dimension(spark, root)
-        scd2.check_load(due, dimension, run)
-
         load = f"{clock():%Y%m%d%H%M%S%f}-{run.batch_id}"
-        image = scd2.current_image(due, dimension, run)
-        open_rows = image.filter(F.col("current_flag") == scd2.CURRENT)
-        added = open_rows.filter(F.col("policy_key").isNull()).drop("policy_key")
-        kept = open_rows.filter(F.col("policy_key").isNotNull())
-        refresh_path(
-            kept.unionByName(scd2.with_keys(added, dimension)), _table(root, f"dim_policy/current/{load}")
-        )
-        refresh_path(scd2.expired(due, dimension, run), _table(root, f"dim_policy/history/{load}"))
+        folder = _load_folder(root, load)
+
+        seen = Observation("versions")
+        kinds = [F.count_if(F.col("kind") == kind).alias(kind) for kind in (scd2.ADDED, scd2.CLOSED)]
+        scd2.versions(due, dimension, run).observe(seen, *kinds).write.partitionBy("kind").parquet(folder)
+        image = spark.read.schema(schemas.POLICY_VERSIONS).parquet(folder)
+        scd2.check_versions(image, run)
+        added = image.filter(F.col("kind") == scd2.ADDED).drop("policy_key", "kind")
+        refresh_path(scd2.with_keys(added, dimension), f"{folder}/kind={_KEYED}")
+
         write_delimited(
             scd2.rejects(due),
             f"{log_path.rstrip('/')}/dim_policy_rejects_{run.run_date.isoformat()}",
             DelimitedFormat(separator="|"),
         )
-        counts = scd2.audit_counts(due, dimension)
-        append_rows(audit.policy_log_row(counts, run, clock()), log, schemas.ETL_AUDIT_LOG)
+        totals = due.agg(F.count(F.lit(1)).alias("source_count")).withColumns(
+            {"target_inserts": F.lit(seen.get[scd2.ADDED]), "target_updates": F.lit(seen.get[scd2.CLOSED])}
+        )
+        append_rows(audit.policy_log_row(totals, run, clock()), log, schemas.ETL_AUDIT_LOG)
         commit = spark.range(1).select(F.lit(load).alias("load"), run.batch.alias("batch_id"), run.now.alias("loaded_at"))
         append_rows(commit, _table(root, "dim_policy_loads"), schemas.POLICY_LOADS)
     except Exception as error:
-        row = audit.failed_row(spark, run, clock(), str(error))
-        append_rows(row, log, schemas.ETL_AUDIT_LOG)
+        append_rows(audit.failed_row(spark, run, clock(), str(error)), log, schemas.ETL_AUDIT_LOG)
         raise

@@ -62,12 +62,16 @@ def stamp(mart: DataFrame, run: RunContext) -> DataFrame:
     return mart.withColumns({"batch_id": run.batch, "load_timestamp": run.now})
 
 
-def mart_v1(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Only the join keys are checked."""
-    staged = {
+def staged_v1(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Sources whose rows have all their join keys."""
+    return {
         name: df.filter(all_of(F.col(k).isNotNull() for k in REQUIRED_KEYS[name])) for name, df in sources.items()
     }
-    return assemble(staged, names_customer_type("customertype"))
+
+
+def mart_v1(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Only the join keys are checked."""
+    return assemble(staged_v1(sources), names_customer_type("customertype"))
 
 
 def mart_v2(sources: Mapping[str, DataFrame], run: RunContext) -> DataFrame:

@@ -16,6 +16,9 @@ ATTRIBUTES = ("policy_holder_name", "policy_type", "premium_amount", "start_date
 NULL_KEY = "POLICY_ID is NULL"
 CURRENT, EXPIRED = "Y", "N"
 
+# Kinds of rows a load produces.
+KEPT, CLOSED, ADDED = "kept", "closed", "added"
+
 _LOOKUP = "lk_"
 _FLAGS = ("matched", "attr_changed", "new_record", "changed", "unchanged", "valid")
 
@@ -113,28 +116,33 @@ def with_keys(new_rows: DataFrame, dimension: DataFrame) -> DataFrame:
     )
 
 
-def current_image(due: DataFrame, dimension: DataFrame, run: RunContext) -> DataFrame:
-    """All rows that are current after the run, plus those this run closes, out of one join.
+def versions(due: DataFrame, dimension: DataFrame, run: RunContext) -> DataFrame:
+    """Every row that is current before or after the run, with its ``kind``, out of one join.
 
-    A changed policy yields two rows, its closed version and its new one; any other yields one.
+    A changed policy yields two rows, its EXPIRED version and the ADDED one; a new policy one ADDED row; any
+    other current row is KEPT. ADDED rows have no surrogate key yet.
     """
     paired = match(due, dimension)
     changed = F.col("in_source") & F.col("matched") & F.col("attr_changed")
-    versions = (
-        F.when(changed, F.array(_kept_row(run, expire=True), _new_version(run)))
-        .when(F.col("matched"), F.array(_kept_row(run, expire=False)))
-        .otherwise(F.array(_new_version(run)))
+
+    def entry(kind: str, row: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), row.alias("row"))
+
+    rows = (
+        F.when(changed, F.array(entry(CLOSED, _kept_row(run, expire=True)), entry(ADDED, _new_version(run))))
+        .when(F.col("matched"), F.array(entry(KEPT, _kept_row(run, expire=False))))
+        .otherwise(F.array(entry(ADDED, _new_version(run))))
     )
-    return paired.select(F.explode(versions).alias("v")).select("v.*")
+    return paired.select(F.explode(rows).alias("v")).select("v.row.*", "v.kind")
 
 
 def full_image(due: DataFrame, dimension: DataFrame, run: RunContext) -> DataFrame:
     """The whole dimension after the run: closed history, untouched rows, rows closed now, and new versions."""
     history = dimension.filter(F.col("current_flag") != CURRENT).select(*DIM_POLICY.names)
-    image = current_image(due, dimension, run)
-    kept = image.filter(F.col("policy_key").isNotNull())
-    added = image.filter(F.col("policy_key").isNull()).drop("policy_key")
-    return history.unionByName(kept).unionByName(with_keys(added, dimension))
+    image = versions(due, dimension, run)
+    standing = image.filter(F.col("kind") != ADDED).select(*DIM_POLICY.names)
+    added = image.filter(F.col("kind") == ADDED).drop("policy_key", "kind")
+    return history.unionByName(standing).unionByName(with_keys(added, dimension))
 
 
 def rejects(due: DataFrame) -> DataFrame:
@@ -163,17 +171,17 @@ class PolicyLoadError(ValueError):
     """The load would break a uniqueness rule of the dimension."""
 
 
-def check_load(due: DataFrame, dimension: DataFrame, run: RunContext) -> None:
-    """Refuse a load that would give a policy two versions from one day, or one source policy two rows."""
-    twice = duplicates(due, "POLICY_SRC", ["policy_id"]).select("key_value").take(5)
+def check_versions(image: DataFrame, run: RunContext) -> None:
+    """Refuse rows from ``versions`` that give a policy two current rows, or two versions from one day.
+
+    The first comes from a source with a policy twice, the second from another load on the same day. Only the
+    policy ids are shuffled, counted map-side first.
+    """
+    twice = duplicates(image.filter(F.col("kind") != CLOSED), "DIM_POLICY", ["policy_id"]).select("key_value").take(5)
     if twice:
         raise PolicyLoadError(f"policies given more than once: {[r.key_value for r in twice]}")
     same_day = (
-        match(due, dimension)
-        .filter(F.col("in_source") & F.col("matched") & F.col("attr_changed"))
-        .filter(F.col(_LOOKUP + "effective_from") >= run.day)
-        .select("policy_id")
-        .take(5)
+        image.filter((F.col("kind") == CLOSED) & (F.col("effective_from") >= run.day)).select("policy_id").take(5)
     )
     if same_day:
         raise PolicyLoadError(f"policies already versioned on or after {run.run_date}: {[r.policy_id for r in same_day]}")

@@ -66,6 +66,7 @@ DIM_POLICY = _fields(
     "current_flag STRING, version_no INT, source_system STRING, updated_date TIMESTAMP_NTZ, batch_id STRING",
     frozenset({"policy_key", "policy_id", "effective_from"}),
 )
+POLICY_VERSIONS = T.StructType([*DIM_POLICY, T.StructField("kind", T.StringType())])
 POLICY_REJECTS = _file("policy_id STRING, error_desc STRING, raw_data STRING")
 POLICY_LOADS = _fields("load STRING, batch_id STRING, loaded_at TIMESTAMP_NTZ")
 ETL_AUDIT_LOG = _fields(

@@ -42,6 +42,21 @@ def test_audited_mart_run_and_rerun(spark, tmp_path):
         assert {r["change_type"] for r in changes.select("change_type").distinct().collect()} == {"INSERT"}
 
 
+@pytest.mark.parametrize("version,rows,columns", [(1, 5956, 23), (2, 2693, 25)])
+def test_earlier_versions_of_the_run(spark, tmp_path, version, rows, columns):
+    root = str(tmp_path / "dw")
+    sources = T.retail_sources(spark, SF)
+    run = RunContext.start(RETAIL_JOB, run_ts=datetime(1998, 5, 20, 12))
+    jobs.run_retail_mart(spark, sources, root, run, clock_after(run, 1), version=version)
+    mart = spark.read.parquet(f"{root}/retail_data_mart")
+    assert (mart.count(), len(mart.columns)) == (rows, columns)
+    last = audit.latest_status(read_table(spark, f"{root}/job_audit_log", schemas.JOB_AUDIT_LOG)).first()
+    staged = retail.staged_v1(sources)["transactions"].count()
+    dated = retail.dated_on(sources["transactions"], run.run_date).count()
+    assert last["source_count"] == (staged if version == 1 else dated)
+    assert last["status"] == ("SUCCESS" if version == 1 else "SUCCESS_WITH_REJECTS")
+
+
 def test_next_batch_records_updates_only(spark, tmp_path):
     root = str(tmp_path / "dw")
     customers = T.customer_dim(spark, SF)
