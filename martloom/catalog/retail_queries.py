@@ -10,6 +10,7 @@ from martloom.catalog.registry import register
 from martloom.functions import (
     as_object,
     batch_id_of,
+    collated,
     date_or_null,
     date_text,
     compare_with_nulls,
@@ -485,3 +486,42 @@ def rejects_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_batch(rejects.retail_rejects(sources, T.RETAIL_RUN), path, JOB_REJECTS)
     return read_table(spark, path, JOB_REJECTS)
 
+
+
+@register(
+    "reject_ids",
+    with_tables(
+        RETAIL_TABLES,
+        f", x AS ({S.ALL_REJECTS}) SELECT count(*) AS records, count(*) AS distinct_ids, CAST(1 AS BIGINT) AS first_id, "
+        "count(*) AS last_id, count(DISTINCT (primary_key_value, error_description, raw_data)) AS distinct_records FROM x",
+    ),
+)
+def reject_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all reject records: as many as records, from 1 on, without gaps."""
+    numbered = rejects.with_reject_ids(rejects.retail_rejects(T.retail_sources(spark, sf_dir), T.RETAIL_RUN))
+    return numbered.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.countDistinct("reject_id").alias("distinct_ids"),
+        F.min("reject_id").alias("first_id"),
+        F.max("reject_id").alias("last_id"),
+        F.countDistinct(F.struct("primary_key_value", "error_description", "raw_data")).alias("distinct_records"),
+    )
+
+
+@register(
+    "group_collated",
+    with_tables(
+        "transactions_fact",
+        "SELECT lower(country) AS country, CAST(count(*) AS INTEGER) AS transactions FROM transactions_fact "
+        "GROUP BY lower(country)",
+    ),
+)
+def group_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixed spellings of a country grouped by a collation that ignores case."""
+    rows = T.transactions_fact(spark, sf_dir).select(
+        F.when(F.col("productid") % 2 == 0, F.upper("country")).otherwise(F.lower("country")).alias("country")
+    )
+    grouped = rows.groupBy(collated("country", "UTF8_LCASE").alias("country")).agg(
+        F.count(F.lit(1)).cast("int").alias("transactions")
+    )
+    return grouped.select(F.lower(F.col("country").cast("string")).alias("country"), "transactions")

@@ -133,8 +133,17 @@ def fold_case(value: Column | str) -> Column:
     return F.lower(_col(value))
 
 
-def sort_key(name: str, descending: bool = False, nulls: str = "first", ignore_case: bool = False) -> Column:
+def collated(value: Column | str, collation: str) -> Column:
+    """Text that compares, groups and sorts by a collation such as UTF8_LCASE, UNICODE_CI or de."""
+    return F.collate(_col(value), collation)
+
+
+def sort_key(
+    name: str, descending: bool = False, nulls: str = "first", ignore_case: bool = False, collation: str | None = None
+) -> Column:
     column = fold_case(name) if ignore_case else F.col(name)
+    if collation:
+        column = collated(column, collation)
     if descending:
         return column.desc_nulls_first() if nulls == "first" else column.desc_nulls_last()
     return column.asc_nulls_first() if nulls == "first" else column.asc_nulls_last()

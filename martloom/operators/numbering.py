@@ -30,7 +30,9 @@ def number_by_key(df: DataFrame, key: str, name: str, after: Column | int = 0) -
     so a task that is run again assigns the same ones.
     """
     base = after if isinstance(after, Column) else F.lit(after)
-    bucketed = df.withColumn("_bucket", F.floor(F.col(key) / KEYS_PER_BUCKET))
+    # The range is named by its lowest key. Integer arithmetic, as doubles would blur keys beyond 2^53.
+    wide = F.col(key).cast("bigint")
+    bucketed = df.withColumn("_bucket", wide - F.pmod(wide, F.lit(KEYS_PER_BUCKET)))
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
     return (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.context import RunContext
 from martloom.functions import as_object
+from martloom.operators.numbering import next_key, number_rows
 from martloom.plans.validation import SourceRules, source_rules
 from martloom.schemas import JOB_REJECTS
 
@@ -38,3 +39,12 @@ def retail_rejects(sources: Mapping[str, DataFrame], run: RunContext) -> DataFra
     rules = source_rules()
     parts = [rejects_of(sources[name], rules[name], run) for name in ("customer", "retail", "transactions", "product")]
     return reduce(DataFrame.unionByName, parts).select(*JOB_REJECTS.names)
+
+
+def with_reject_ids(rejects: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Reject records with the next consecutive ids and their creation time, for a table that keeps them.
+
+    ``stored`` is that table; its largest id is where the new ones start. Equal records get ids of their own.
+    """
+    after = next_key(stored, "reject_id") if stored is not None else 0
+    return number_rows(rejects, "reject_id", after=after).withColumn("created_at", F.col("reject_time"))

@@ -163,7 +163,7 @@ def test_merged_summaries_equal_direct_ones(spark):
 
 
 def test_numbers_by_key_follow_the_key_order(spark):
-    keys = [5, -3, 2_500_000, 1_000_000, 999_999, 7_000_000_001]
+    keys = [5, -3, 2_500_000, 1_000_000, 999_999, 7_000_000_001, 2**53 + 1, 2**53 + 2, 2**60 + 3]
     df = spark.createDataFrame([(k,) for k in keys], "k BIGINT")
     got = {r["k"]: r["id"] for r in numbering.number_by_key(df, "k", "id", after=100).collect()}
     assert got == {k: 101 + i for i, k in enumerate(sorted(keys))}
