@@ -146,21 +146,24 @@ def scan_record_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register(
-    "scan_first_n",
-    "SELECT CAST(min(o_orderkey) AS BIGINT) AS first_key, CAST(1 AS BIGINT) AS least FROM orders",
-)
+@register("scan_first_n", "SELECT count(*) AS records, true AS first_rows_kept FROM orders")
 def scan_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 100 records of each file: checked by the smallest key and record number they contain."""
-    rows = scan_delimited(
-        spark,
-        _sorted_orders(spark, sf_dir),
-        StructType.fromDDL(_ORDERS),
-        HEADED,
-        record_number="record",
-        first_rows=100,
+    """The first 100 records of each file must be its 100 smallest keys, or all of a shorter file."""
+    path = _sorted_orders(spark, sf_dir)
+    schema = StructType.fromDDL(_ORDERS)
+    everything = scan_delimited(spark, path, schema, HEADED, source_name="source_file")
+    leading = scan_delimited(spark, path, schema, HEADED, source_name="source_file", first_rows=100)
+    whole = everything.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("records"), F.min("o_orderkey").alias("first_key")
+    )
+    kept = leading.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("kept"), F.max("o_orderkey").alias("last_key")
+    )
+    expected = F.least(F.lit(100), F.col("records"))
+    right = (F.col("kept") == expected) & (F.col("last_key") == F.col("first_key") + expected - 1)
+    return whole.join(kept, "source_file", "left").agg(
+        F.sum("records").alias("records"), F.bool_and(F.coalesce(right, F.lit(False))).alias("first_rows_kept")
     )
-    return rows.agg(F.min("o_orderkey").alias("first_key"), F.min("record").alias("least"))
 
 
 _EURO = "€Š"

@@ -12,7 +12,7 @@ from martloom import schemas
 from martloom.context import RunContext
 from martloom.plans import audit, customer_audit, rejects, retail, scd2
 from martloom.sinks.delimited import write_delimited
-from martloom.sinks.tables import append_rows, clustered, drop_batch, read_table, refresh_path, replace_batch
+from martloom.sinks.tables import append_rows, clustered, drop_partition, read_table, refresh_path, replace_batch
 from martloom.sources.delimited import DelimitedFormat, scan_delimited
 from martloom.sources.files import existing_paths
 from martloom.sources.tables import due_policies
@@ -111,7 +111,7 @@ def store_rejects(spark: SparkSession, sources: Mapping[str, DataFrame], root: s
     replace_batch(bad, path, schemas.JOB_REJECTS)
     rows = rejected.get["rows"]
     if rows == 0:
-        drop_batch(spark, path, run.job_name, run.batch_id)
+        drop_partition(spark, path, job_name=run.job_name, batch_id=run.batch_id)
     return rows
 
 
@@ -123,7 +123,7 @@ def record_customer_changes(spark: SparkSession, customers: DataFrame, root: str
         empty = spark.createDataFrame([], schemas.CUSTOMER_DIM_AUDIT)
         empty.write.partitionBy("batch_id").parquet(path)
     stored = read_table(spark, path, schemas.CUSTOMER_DIM_AUDIT)
-    changed = customer_audit.changes_since_previous_batch(customers, stored, run)
+    changed, seen = counted(customer_audit.changes_since_previous_batch(customers, stored, run), "changed")
     # The rows read are those of earlier batches and the rows written go to this batch's own partition.
     (
         schemas.conform(changed, schemas.CUSTOMER_DIM_AUDIT)
@@ -132,6 +132,8 @@ def record_customer_changes(spark: SparkSession, customers: DataFrame, root: str
         .partitionBy("batch_id")
         .parquet(path)
     )
+    if seen.get["rows"] == 0:
+        drop_partition(spark, path, batch_id=run.batch_id)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

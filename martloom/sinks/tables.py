@@ -55,9 +55,10 @@ def replace_batch(df: DataFrame, path: str, schema: T.StructType) -> None:
     )
 
 
-def drop_batch(spark: SparkSession, path: str, job_name: str, batch_id: str) -> None:
-    """Remove one batch's partition, needed when the new run of the batch has no rows to replace it with."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/job_name={job_name}/batch_id={batch_id}")
+def drop_partition(spark: SparkSession, path: str, **values: str) -> None:
+    """Remove one partition, needed when a rerun has no rows that would replace it."""
+    leaf = "/".join(f"{column}={value}" for column, value in values.items())
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{leaf}")
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 

@@ -137,3 +137,31 @@ def test_table_sources(spark, tmp_path):
 def test_database_source_reports_a_missing_driver(spark):
     with pytest.raises(Exception, match="(?i)driver"):
         jdbc_due_policies(spark, "jdbc:nodb://nowhere/x", datetime(2024, 1, 1).date())
+
+
+def test_run_on_empty_sources(spark, tmp_path):
+    root = str(tmp_path / "dw")
+    sources = {name: df.filter(F.lit(False)) for name, df in T.retail_sources(spark, SF).items()}
+    run = RunContext.start(RETAIL_JOB, run_ts=datetime(2024, 1, 31, 12))
+    jobs.run_retail_mart(spark, sources, root, run)
+    last = audit.latest_status(read_table(spark, f"{root}/job_audit_log", schemas.JOB_AUDIT_LOG)).first()
+    assert (last["status"], last["source_count"], last["target_inserts"], last["reject_count"]) == ("SUCCESS", 0, 0, 0)
+
+
+def test_run_whose_join_turns_out_empty(spark, tmp_path):
+    root = str(tmp_path / "dw")
+    sources = dict(T.retail_sources(spark, SF))
+    sources["customer"] = sources["customer"].filter(F.col("customer_id") + F.col("age") < -5)
+    run = RunContext.start(RETAIL_JOB, run_ts=datetime(2024, 1, 31, 12))
+    jobs.run_retail_mart(spark, sources, root, run)
+    last = audit.latest_status(read_table(spark, f"{root}/job_audit_log", schemas.JOB_AUDIT_LOG)).first()
+    assert last["target_inserts"] == 0 and last["source_count"] == 6000
+
+
+def test_rerun_without_customer_changes_clears_the_batch(spark, tmp_path):
+    root = str(tmp_path / "dw")
+    customers = T.customer_dim(spark, SF)
+    run = RunContext.start(RETAIL_JOB, run_ts=datetime(2024, 1, 31))
+    jobs.record_customer_changes(spark, customers, root, run)
+    jobs.record_customer_changes(spark, customers.filter(F.col("customer_id") < -1), root, run)
+    assert read_table(spark, f"{root}/customer_dim_audit", schemas.CUSTOMER_DIM_AUDIT).count() == 0

@@ -137,3 +137,15 @@ def test_successive_loads(spark, tmp_path):
     assert spark.read.text(f"{logs}/dim_policy_rejects_2024-02-20").filter(F.col("value").startswith(',"x')).count() == 0
     assert [r["value"].split("|")[1] for r in spark.read.text(f"{logs}/dim_policy_rejects_2024-02-20").collect()] == [
         '"POLICY_ID is NULL"']
+
+
+def test_load_of_nothing_and_then_something(spark, tmp_path):
+    root, logs = str(tmp_path / "mart"), str(tmp_path / "logs")
+    jobs.run_policy_load(spark, source(spark), root, RUN, logs)
+    assert jobs.policy_dimension(spark, root).count() == 0
+    later = RunContext.start(POLICY_JOB, run_ts=datetime(2024, 2, 1, 12), run_date=date(2024, 2, 1))
+    jobs.run_policy_load(spark, source(spark, {"policy_id": 4}), root, later, logs)
+    (row,) = jobs.policy_dimension(spark, root).collect()
+    assert (row["policy_key"], row["policy_id"], row["version_no"]) == (1, 4, 1)
+    log = spark.read.parquet(f"{root}/etl_audit_log").filter("status = 'SUCCESS'").orderBy("start_time")
+    assert [r["target_inserts"] for r in log.collect()] == [0, 1]
