@@ -60,7 +60,7 @@ def mart_clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_tables(
         RETAIL_TABLES,
         S.mart_cte(S.V1, wanted="c.customertype IN ('citizen', 'foriegn')")
-        + "SELECT customer_id, stockid, CAST(count(*) AS INTEGER) AS total_orders_num FROM mart "
+        + "SELECT customer_id, stockid, count(*) AS total_orders_num FROM mart "
         "GROUP BY customer_id, stockid",
     ),
 )
@@ -171,9 +171,9 @@ def join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     "join_multi",
     with_tables(
         "transactions_fact customer_dim",
-        """, bought AS (SELECT customer_id, CAST(count(*) AS INTEGER) AS transactions FROM transactions_fact
+        """, bought AS (SELECT customer_id, count(*) AS transactions FROM transactions_fact
              GROUP BY customer_id),
-           ordered AS (SELECT CAST(o_custkey AS INTEGER) AS customer_id, CAST(count(*) AS INTEGER) AS orders
+           ordered AS (SELECT CAST(o_custkey AS INTEGER) AS customer_id, count(*) AS orders
              FROM orders GROUP BY o_custkey)
         SELECT c.customer_id, c.customername, bought.transactions, ordered.orders
         FROM customer_dim c JOIN bought ON c.customer_id = bought.customer_id
@@ -191,7 +191,7 @@ def join_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     "join_case_insensitive",
     with_tables(
         "retail_dim transactions_fact",
-        """, sold AS (SELECT lower(country) AS location, CAST(count(*) AS INTEGER) AS transactions
+        """, sold AS (SELECT lower(country) AS location, count(*) AS transactions
              FROM transactions_fact GROUP BY lower(country))
         SELECT r.location, r.stockid, sold.transactions FROM retail_dim r JOIN sold
           ON lower(r.location) = lower(sold.location)""",
@@ -512,7 +512,7 @@ def reject_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     "group_collated",
     with_tables(
         "transactions_fact",
-        "SELECT lower(country) AS country, CAST(count(*) AS INTEGER) AS transactions FROM transactions_fact "
+        "SELECT lower(country) AS country, count(*) AS transactions FROM transactions_fact "
         "GROUP BY lower(country)",
     ),
 )
@@ -522,6 +522,6 @@ def group_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("productid") % 2 == 0, F.upper("country")).otherwise(F.lower("country")).alias("country")
     )
     grouped = rows.groupBy(collated("country", "UTF8_LCASE").alias("country")).agg(
-        F.count(F.lit(1)).cast("int").alias("transactions")
+        F.count(F.lit(1)).alias("transactions")
     )
     return grouped.select(F.lower(F.col("country").cast("string")).alias("country"), "transactions")

@@ -200,7 +200,7 @@ def agg_resummarize(spark: SparkSession, sf_dir: str) -> DataFrame:
     "group_case_insensitive",
     with_tables(
         "customer_dim",
-        "SELECT lower(customertype) AS customertype, CAST(count(*) AS INTEGER) AS customers FROM customer_dim "
+        "SELECT lower(customertype) AS customertype, count(*) AS customers FROM customer_dim "
         "GROUP BY lower(customertype)",
     ),
 )

@@ -44,7 +44,7 @@ def grouping(keys: Sequence[str], ignore_case: Sequence[str] = ()) -> list[Colum
 
 def count_rows(df: DataFrame, keys: Sequence[str], name: str, ignore_case: Sequence[str] = ()) -> DataFrame:
     """Rows per group. Counts are combined before the shuffle, so a hot key costs no more than another."""
-    return df.groupBy(*grouping(keys, ignore_case)).agg(F.count(F.lit(1)).cast("int").alias(name))
+    return df.groupBy(*grouping(keys, ignore_case)).agg(F.count(F.lit(1)).alias(name))
 
 
 def _present(column: str, options: StatisticsOptions) -> Column:

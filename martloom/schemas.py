@@ -54,7 +54,8 @@ RETAIL_DATA_MART = _fields(
         "country".split()
     ),
 )
-COUNT_CUSTOMERS_TRANSACTIONS = _file("customer_id INT, stockid INT, total_orders_num INT")
+# The count is wider than the 32 bits of the reference file: one pair may hold more rows than that at scale.
+COUNT_CUSTOMERS_TRANSACTIONS = _file("customer_id INT, stockid INT, total_orders_num BIGINT")
 POLICY_SRC = _fields(
     "policy_id BIGINT, policy_holder_name STRING, policy_type STRING, premium_amount DECIMAL(10,2), "
     "start_date DATE, end_date DATE, updated_date TIMESTAMP_NTZ, source_system STRING",
