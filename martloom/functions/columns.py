@@ -75,7 +75,8 @@ def differs(left: Column | str, right: Column | str) -> Column:
 
 
 def date_text(value: Column | str) -> Column:
-    return F.date_format(_col(value), "yyyy-MM-dd")
+    """Date or timestamp as yyyy-MM-dd. A zone-free timestamp does not pass through the session time zone."""
+    return _col(value).cast("date").cast("string")
 
 
 def day_before(value: Column | str) -> Column:
@@ -94,7 +95,9 @@ def _whole_seconds(value: Column) -> Column:
 
 
 def batch_id_of(moment: Column | str) -> Column:
-    return F.concat(F.lit("BATCH_"), F.date_format(_col(moment), "yyyyMMddHHmmss"))
+    """BATCH_ and the fourteen digits of the moment, taken from its text so that no time zone comes in."""
+    digits = F.regexp_replace(F.substring(_col(moment).cast("string"), 1, 19), "[^0-9]", "")
+    return F.concat(F.lit("BATCH_"), digits)
 
 
 def not_older_than(moment: Column | str, run_ts: datetime, days: int) -> Column:

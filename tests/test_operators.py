@@ -228,6 +228,17 @@ def test_seconds_count_boundaries_and_ignore_the_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_text_of_a_time_the_session_zone_skips(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        skipped = F.lit("2024-03-10 02:30:00.5").cast("timestamp_ntz")
+        assert one(spark, X.batch_id_of(skipped)) == "BATCH_20240310023000"
+        assert one(spark, X.date_text(skipped)) == "2024-03-10"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_batch_id_and_percent(spark):
     assert one(spark, X.batch_id_of(F.lit("2024-01-31 12:00:05").cast("timestamp_ntz"))) == "BATCH_20240131120005"
     assert float(one(spark, X.percent(F.lit(2), F.lit(3)))) == 66.67
