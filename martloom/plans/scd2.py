@@ -119,7 +119,7 @@ def with_keys(new_rows: DataFrame, dimension: DataFrame) -> DataFrame:
 def versions(due: DataFrame, dimension: DataFrame, run: RunContext) -> DataFrame:
     """Every row that is current before or after the run, with its ``kind``, out of one join.
 
-    A changed policy yields two rows, its EXPIRED version and the ADDED one; a new policy one ADDED row; any
+    A changed policy yields two rows, its CLOSED version and the ADDED one; a new policy one ADDED row; any
     other current row is KEPT. ADDED rows have no surrogate key yet.
     """
     paired = match(due, dimension)
