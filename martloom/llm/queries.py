@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martloom.llm import exact_dedup
+from martloom.llm import exact_dedup, simhash
 from martloom.llm.common import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -25,3 +25,9 @@ def op9_exact_dedup(spark, sf_dir):
     return groups.select(
         "doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256"
     )
+
+
+@register("op5_simhash")
+def op5_simhash(spark, sf_dir):
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
