@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martloom.llm import exact_dedup, simhash
+from martloom.llm import byte_bpe, exact_dedup, simhash
 from martloom.llm.common import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -31,3 +31,9 @@ def op9_exact_dedup(spark, sf_dir):
 def op5_simhash(spark, sf_dir):
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op7_byte_bpe")
+def op7_byte_bpe(spark, sf_dir):
+    tokens = byte_bpe.tokens_of(spark, table(spark, sf_dir, "documents"))
+    return byte_bpe.digests(byte_bpe.decode(tokens, byte_bpe.default_vocabulary()[0]))
