@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martloom.llm import byte_bpe, exact_dedup, simhash
+from martloom.llm import byte_bpe, exact_dedup, quality, simhash
 from martloom.llm.common import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -37,3 +37,8 @@ def op5_simhash(spark, sf_dir):
 def op7_byte_bpe(spark, sf_dir):
     tokens = byte_bpe.tokens_of(spark, table(spark, sf_dir, "documents"))
     return byte_bpe.digests(byte_bpe.decode(tokens, byte_bpe.default_vocabulary()[0]))
+
+
+@register("op2_quality")
+def op2_quality(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"))
