@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martloom.llm import byte_bpe, exact_dedup, quality, simhash
+from martloom.llm import byte_bpe, exact_dedup, mixing, quality, simhash
 from martloom.llm.common import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -42,3 +42,9 @@ def op7_byte_bpe(spark, sf_dir):
 @register("op2_quality")
 def op2_quality(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@register("op8_mixing")
+def op8_mixing(spark, sf_dir):
+    rows = mixing.mixed(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "source", "block", "slot", "release", "deadline", "in_mix")
