@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martloom.llm import byte_bpe, exact_dedup, mixing, quality, simhash
+from martloom.llm import byte_bpe, exact_dedup, mixing, quality, simhash, toxicity
 from martloom.llm.common import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -48,3 +48,16 @@ def op2_quality(spark, sf_dir):
 def op8_mixing(spark, sf_dir):
     rows = mixing.mixed(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "source", "block", "slot", "release", "deadline", "in_mix")
+
+
+@register("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    rows = toxicity.scored(docs, toxicity.train(docs, labels, ~held_out))
+    return rows.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"),
+    )
