@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martloom.llm import byte_bpe, exact_dedup, mixing, quality, simhash, toxicity
+from martloom.llm import byte_bpe, exact_dedup, mixing, quality, simhash, toxicity, url_filter
 from martloom.llm.common import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -61,3 +61,83 @@ def op3_toxicity(spark, sf_dir):
         "score",
         (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"),
     )
+
+
+# Hosts, domains and suffixes are shrunk in turn; the constants are those of the operator's module.
+_URL_SQL = """
+WITH cut AS (
+    SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), named AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+           CASE WHEN length(html) > 0 THEN
+               CASE WHEN (length(html) - length(regexp_replace(html, '[%#*$|!]', '', 'g'))) / CAST(length(html) AS DOUBLE) < 0.03
+                    THEN 1 ELSE 0 END END AS good
+    FROM cut
+), counted AS (
+    SELECT host, regexp_extract(host, '([^.]*\\.)?[^.]*$', 0) AS domain, regexp_extract(host, '[^.]*$', 0) AS suffix,
+           CAST(count(good) AS DOUBLE) AS n, CAST(coalesce(sum(good), 0) AS DOUBLE) AS good
+    FROM named GROUP BY host
+), whole AS (
+    SELECT (sum(good) + 1) / (sum(n) + 2) AS prior FROM counted
+), s AS (
+    SELECT suffix, sum(n) AS n, sum(good) AS good, max(prior) AS prior FROM counted, whole GROUP BY suffix
+), s_part AS (
+    SELECT sum(n * power(good / n - prior, 2) / (prior * (1 - prior))) AS spread, count(*) - 1 AS free,
+           sum(n) - sum(n * n) / sum(n) AS room
+    FROM s WHERE n > 0
+), s_rho AS (
+    SELECT CASE WHEN sum(spread) IS NULL OR sum(room) - sum(free) <= 0 THEN 0.05
+                ELSE least(0.5, greatest(0.001, (sum(spread) - sum(free)) / (sum(room) - sum(free)))) END AS rho
+    FROM s_part
+), s_mean AS (
+    SELECT suffix, (prior * (1 - rho) / rho + good) / ((1 - rho) / rho + n) AS prior FROM s, s_rho
+), d AS (
+    SELECT c.domain, c.suffix, sum(c.n) AS n, sum(c.good) AS good, max(m.prior) AS prior
+    FROM counted c JOIN s_mean m ON c.suffix = m.suffix GROUP BY c.domain, c.suffix
+), d_part AS (
+    SELECT sum(n * power(good / n - prior, 2) / (prior * (1 - prior))) AS spread, count(*) - 1 AS free,
+           sum(n) - sum(n * n) / sum(n) AS room
+    FROM d WHERE n > 0 GROUP BY suffix
+), d_rho AS (
+    SELECT CASE WHEN sum(spread) IS NULL OR sum(room) - sum(free) <= 0 THEN 0.05
+                ELSE least(0.5, greatest(0.001, (sum(spread) - sum(free)) / (sum(room) - sum(free)))) END AS rho
+    FROM d_part
+), d_mean AS (
+    SELECT domain, suffix, (prior * (1 - rho) / rho + good) / ((1 - rho) / rho + n) AS prior FROM d, d_rho
+), h AS (
+    SELECT c.host, c.domain, c.n, c.good, m.prior
+    FROM counted c JOIN d_mean m ON c.domain = m.domain AND c.suffix = m.suffix
+), h_part AS (
+    SELECT sum(n * power(good / n - prior, 2) / (prior * (1 - prior))) AS spread, count(*) - 1 AS free,
+           sum(n) - sum(n * n) / sum(n) AS room
+    FROM h WHERE n > 0 GROUP BY domain
+), h_rho AS (
+    SELECT CASE WHEN sum(spread) IS NULL OR sum(room) - sum(free) <= 0 THEN 0.05
+                ELSE least(0.5, greatest(0.001, (sum(spread) - sum(free)) / (sum(room) - sum(free)))) END AS rho
+    FROM h_part
+), h_mean AS (
+    SELECT host, (prior * (1 - rho) / rho + good) / ((1 - rho) / rho + n) AS mean, (1 - rho) / rho + n AS weight FROM h, h_rho
+)
+SELECT p.page_id, p.host, p.path, p.rule,
+       CASE p.rule WHEN 'example.com/de/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow'
+                   WHEN 'net/' THEN 'block'
+                   ELSE CASE WHEN m.mean + 1.645 * sqrt(m.mean * (1 - m.mean) / (m.weight + 1)) < 0.6 THEN 'block' ELSE 'allow' END
+       END AS verdict
+FROM (
+    SELECT page_id, host, path,
+           CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+                WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+    FROM named
+) p JOIN h_mean m ON p.host = m.host
+"""
+
+
+@register("op1_url_filter", _URL_SQL)
+def op1_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    outcomes = pages.select(url_filter.host_of(F.col("url")).alias("host"), url_filter.outcome_of(F.col("html")).alias("good"))
+    return url_filter.judged(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
