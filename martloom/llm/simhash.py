@@ -100,7 +100,7 @@ def trie_pairs(
             stack += [(bit, half) for half in np.array_split(pairs, 2)]
             continue
         sizes = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2])
-        few = (sizes <= 16) if bit >= 0 else np.ones(len(pairs), bool)
+        few = (sizes <= 64) if bit >= 0 else np.ones(len(pairs), bool)
         if few.any():
             small, n = pairs[few], sizes[few]
             at = np.repeat(np.arange(len(small)), n)
@@ -118,6 +118,7 @@ def trie_pairs(
         mid_a = pairs[:, 1] - (in_a[pairs[:, 1]] - in_a[pairs[:, 0]])
         mid_b = pairs[:, 3] - (in_b[pairs[:, 3]] - in_b[pairs[:, 2]])
         alike = same & (pairs[:, 0] == pairs[:, 2]) & (pairs[:, 1] == pairs[:, 3])
+        children = []
         for x in (0, 1):
             for y in (0, 1):
                 child = np.column_stack(
@@ -132,8 +133,8 @@ def trie_pairs(
                 keep = (child[:, 0] < child[:, 1]) & (child[:, 2] < child[:, 3]) & (child[:, 4] <= budget)
                 if x > y:
                     keep &= ~alike
-                if keep.any():
-                    stack.append((bit - 1, child[keep]))
+                children.append(child[keep])
+        stack.append((bit - 1, np.concatenate(children)))
 
 
 def _unite(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
