@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martloom.llm import byte_bpe, exact_dedup, mixing, quality, simhash, toxicity, url_filter
+from martloom.llm import byte_bpe, exact_dedup, mixing, quality, simhash, top_k, toxicity, url_filter
 from martloom.llm.common import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -141,3 +141,27 @@ def op1_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     outcomes = pages.select(url_filter.host_of(F.col("url")).alias("host"), url_filter.outcome_of(F.col("html")).alias("good"))
     return url_filter.judged(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register(
+    "op10_top_k",
+    """
+    WITH v AS (
+        SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+    ), ranked AS (
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def op10_top_k(spark, sf_dir):
+    vectors = top_k.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
