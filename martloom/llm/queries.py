@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martloom.llm import byte_bpe, exact_dedup, mixing, quality, simhash, top_k, toxicity, url_filter
+from martloom.llm import (
+    byte_bpe,
+    exact_dedup,
+    mixing,
+    quality,
+    simhash,
+    suffix_dedup,
+    top_k,
+    toxicity,
+    url_filter,
+)
 from martloom.llm.common import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -165,3 +175,9 @@ def op1_url_filter(spark, sf_dir):
 def op10_top_k(spark, sf_dir):
     vectors = top_k.whole_vectors(table(spark, sf_dir, "embeddings"))
     return top_k.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@register("op4_suffix_dedup")
+def op4_suffix_dedup(spark, sf_dir):
+    spans = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "start", "end", (F.col("end") - F.col("start")).alias("n_words"))
