@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from martloom.llm import (
     byte_bpe,
     exact_dedup,
+    license_scan,
     mixing,
     quality,
     simhash,
@@ -181,3 +182,10 @@ def op10_top_k(spark, sf_dir):
 def op4_suffix_dedup(spark, sf_dir):
     spans = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
     return spans.select("doc_id", "start", "end", (F.col("end") - F.col("start")).alias("n_words"))
+
+
+@register("op6_license_scan")
+def op6_license_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = license_scan.scan(docs, license_scan.train(docs))
+    return found.select("doc_id", "paragraph", "family", "probability", "shared", "confirmed")
