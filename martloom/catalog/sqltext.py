@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from martloom.samples.sql import BATCH_ID, JOB_NAME, POLICY_RUN_DATE, RETAIL_TABLES, RUN_TS, with_tables
 
+# Fixed values below: accepted spellings, limits, messages, table and column names, which must equal the reference's.
 TYPES = "('citizen', 'foriegn', 'Citizen', 'Foriegn', 'CITIZEN', 'FORIEGN')"
 
 # source -> ordered (broken condition, message), and the strict condition

@@ -15,6 +15,8 @@ CUSTOMER_TYPE_WORDS = ("citizen", "foriegn")
 
 # Fixed value: what a cast to integer accepts, with control characters and blanks around it.
 INTEGER_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+# Fixed value: what a rounding cast accepts besides, a fraction and an exponent.
+NUMBER_TEXT = r"^[\x00-\x20]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[\x00-\x20]*$"
 
 
 def _col(value: Column | str) -> Column:
@@ -43,7 +45,7 @@ def int_or_null(value: Column | str, rounding: bool = False) -> Column:
     """Text to integer, null where it is not one. ``rounding`` also takes decimal and exponent text, rounded."""
     text = _col(value)
     if rounding:
-        return F.round(text.try_cast("decimal(38,10)"), 0).try_cast("int")
+        return F.when(text.rlike(NUMBER_TEXT), F.round(text.try_cast("decimal(38,10)"), 0).try_cast("int"))
     # A failed cast is an exception inside the engine, caught and paid for per row; the pattern keeps
     # everything but overflows away from it.
     return F.when(text.rlike(INTEGER_TEXT), text.try_cast("int"))

@@ -59,7 +59,7 @@ def failed_row(spark: SparkSession, run: RunContext, ended: datetime, message: s
             "end_time": end,
             "status": F.lit(FAILED),
             "execution_duration_seconds": seconds_between(run.now, end),
-            "error_message": F.lit(message[:4000]),
+            "error_message": F.lit(message),
         }
     )
     return conform(row, JOB_AUDIT_LOG)
@@ -87,7 +87,10 @@ def latest_status(log: DataFrame) -> DataFrame:
     This is an aggregate that keeps one row per run and task before the shuffle, not a window.
     """
     others = [f.name for f in JOB_AUDIT_LOG if f.name not in ("batch_id", "job_name")]
-    finished = F.struct(F.coalesce(F.col("end_time"), F.col("start_time")), F.col("end_time").isNotNull())
+    # Of rows that end at one time, the one whose text form is largest: any rule will do that always picks the same.
+    finished = F.struct(
+        F.coalesce(F.col("end_time"), F.col("start_time")), F.col("end_time").isNotNull(), F.to_json(F.struct(*others))
+    )
     return (
         log.groupBy("batch_id", "job_name")
         .agg(F.max_by(F.struct(*others), finished).alias("row"))

@@ -136,6 +136,11 @@ def record_customer_changes(spark: SparkSession, customers: DataFrame, root: str
         drop_partition(spark, path, batch_id=run.batch_id)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
@@ -179,6 +184,13 @@ def run_policy_load(
     """
     log = _table(root, "etl_audit_log")
     append_rows(audit.started_row(spark, run), log, schemas.ETL_AUDIT_LOG)
+    folder = None
+
+    def report(conflicts: DataFrame) -> str:
+        path = f"{log_path.rstrip('/')}/dim_policy_conflicts_{run.run_date.isoformat()}"
+        write_delimited(conflicts, path, DelimitedFormat(separator="|"))
+        return path
+
     try:
         due = due_policies(policies, run.run_date)
         dimension = policy_dimension(spark, root)
@@ -189,7 +201,7 @@ def run_policy_load(
         kinds = [F.count_if(F.col("kind") == kind).alias(kind) for kind in (scd2.ADDED, scd2.CLOSED)]
         scd2.versions(due, dimension, run).observe(seen, *kinds).write.partitionBy("kind").parquet(folder)
         image = spark.read.schema(schemas.POLICY_VERSIONS).parquet(folder)
-        scd2.check_versions(image, run)
+        scd2.check_versions(image, run, report)
         added = image.filter(F.col("kind") == scd2.ADDED).drop("policy_key", "kind")
         refresh_path(scd2.with_keys(added, dimension), f"{folder}/kind={_KEYED}")
 
@@ -201,9 +213,13 @@ def run_policy_load(
         totals = due.agg(F.count(F.lit(1)).alias("source_count")).withColumns(
             {"target_inserts": F.lit(seen.get[scd2.ADDED]), "target_updates": F.lit(seen.get[scd2.CLOSED])}
         )
-        append_rows(audit.policy_log_row(totals, run, clock()), log, schemas.ETL_AUDIT_LOG)
         commit = spark.range(1).select(F.lit(load).alias("load"), run.batch.alias("batch_id"), run.now.alias("loaded_at"))
         append_rows(commit, _table(root, "dim_policy_loads"), schemas.POLICY_LOADS)
+        folder = None
+        # Success is logged of what can be seen.
+        append_rows(audit.policy_log_row(totals, run, clock()), log, schemas.ETL_AUDIT_LOG)
     except Exception as error:
+        if folder:
+            delete_path(spark, folder)
         append_rows(audit.failed_row(spark, run, clock(), str(error)), log, schemas.ETL_AUDIT_LOG)
         raise

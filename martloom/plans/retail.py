@@ -28,7 +28,8 @@ REQUIRED_KEYS = {
 
 
 def with_integer_date(transactions: DataFrame) -> DataFrame:
-    return transactions.withColumn("invoice_date", int_or_null("invoice_date"))
+    """The date text as a number, rounded where it has a fraction, as the warehouse casts it."""
+    return transactions.withColumn("invoice_date", int_or_null("invoice_date", rounding=True))
 
 
 def dated_on(transactions: DataFrame, day: date) -> DataFrame:

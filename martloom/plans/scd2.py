@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,17 +173,25 @@ class PolicyLoadError(ValueError):
     """The load would break a uniqueness rule of the dimension."""
 
 
-def check_versions(image: DataFrame, run: RunContext) -> None:
-    """Refuse rows from ``versions`` that give a policy two current rows, or two versions from one day.
+def conflicts(image: DataFrame, run: RunContext) -> DataFrame:
+    """(policy_id, reason) of rows from ``versions`` that would give a policy two current rows, or two versions from
+    one day.
 
     The first comes from a source with a policy twice, the second from another load on the same day. Only the
     policy ids are shuffled, counted map-side first.
     """
-    twice = duplicates(image.filter(F.col("kind") != CLOSED), "DIM_POLICY", ["policy_id"]).select("key_value").take(5)
-    if twice:
-        raise PolicyLoadError(f"policies given more than once: {[r.key_value for r in twice]}")
-    same_day = (
-        image.filter((F.col("kind") == CLOSED) & (F.col("effective_from") >= run.day)).select("policy_id").take(5)
+    twice = duplicates(image.filter(F.col("kind") != CLOSED), "DIM_POLICY", ["policy_id"])
+    same_day = image.filter((F.col("kind") == CLOSED) & (F.col("effective_from") >= run.day))
+    return twice.select(F.col("key_value").cast("string").alias("policy_id"), F.lit("given more than once").alias("reason")).union(
+        same_day.select(F.col("policy_id").cast("string"), F.lit(f"already versioned on or after {run.run_date}"))
     )
-    if same_day:
-        raise PolicyLoadError(f"policies already versioned on or after {run.run_date}: {[r.policy_id for r in same_day]}")
+
+
+def check_versions(image: DataFrame, run: RunContext, report: Callable[[DataFrame], str] | None = None) -> None:
+    """Refuse rows that have ``conflicts``. The error says how many there are, by reason; ``report`` stores all of them
+    and returns where."""
+    found = conflicts(image, run)
+    counts = {r["reason"]: r["count"] for r in found.groupBy("reason").count().collect()}
+    if counts:
+        said = ", ".join(f"{n} policies {reason}" for reason, n in sorted(counts.items()))
+        raise PolicyLoadError(said + (f"; they are listed in {report(found)}" if report else ""))

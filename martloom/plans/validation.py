@@ -54,7 +54,7 @@ def one_of(column: str, accepted: Sequence[str], message: str) -> Rule:
 
 
 def integer_text(column: str, message: str) -> Rule:
-    number = int_or_null(column)
+    number = int_or_null(column, rounding=True)
     return Rule(message, number.isNull(), number.isNotNull())
 
 

@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 
 from martloom.functions import sort_key
 from martloom.sources.charsets import encode_text, spark_charset
-from martloom.sources.delimited import DelimitedFormat
+from martloom.sources.delimited import DelimitedFormat, escaped
 
 _MODES = {"overwrite": "overwrite", "append": "append", "create": "errorifexists"}
 
 
 def as_line(df: DataFrame, layout: DelimitedFormat = DelimitedFormat()) -> Column:
-    """A row as one text line: text columns in double quotes, all others bare, null as nothing."""
+    """A row as one text line: text columns in double quotes, all others bare, null as nothing.
+
+    Line breaks and the control characters that the file itself needs are escaped, so that a line is a row whatever
+    its texts hold, and files stay splittable; ``scan_delimited`` undoes it.
+    """
     cells = []
     for name, kind in df.dtypes:
         value = F.col(f"`{name}`")
         if kind == "string":
-            quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+            quoted = F.concat(F.lit('"'), F.replace(escaped(value), F.lit('"'), F.lit('""')), F.lit('"'))
             cells.append(F.coalesce(quoted, F.lit("")))
         elif kind == "date":
             cells.append(F.coalesce(F.date_format(value, layout.date_format), F.lit("")))
@@ -92,10 +96,10 @@ def write_single_file(
     path: str,
     layout: DelimitedFormat = DelimitedFormat(header=True),
     mode: str = "overwrite",
-    most_bytes: int = 256 * 1024 * 1024,
 ) -> None:
-    """One file, written by one task. Refuses data over ``most_bytes``: that belongs in a parallel write."""
-    size = df.agg(F.sum(F.octet_length(as_line(df, layout)).cast("bigint") + 1).alias("b")).first()["b"] or 0
-    if size > most_bytes:
-        raise ValueError(f"{size} bytes are too many for a single-file write; use write_delimited")
-    _writer(df.coalesce(1), layout, mode).csv(path)
+    """One file, which one task writes, by request of the caller. ``write_delimited`` writes in parallel.
+
+    Only the last step is one task: the repartition keeps what comes before it parallel. The rows pass through that
+    task as a stream, so its memory does not depend on their number.
+    """
+    _writer(df.repartition(1), layout, mode).csv(path)

@@ -57,7 +57,9 @@ def replace_batch(df: DataFrame, path: str, schema: T.StructType) -> None:
 
 def drop_partition(spark: SparkSession, path: str, **values: str) -> None:
     """Remove one partition, needed when a rerun has no rows that would replace it."""
-    leaf = "/".join(f"{column}={value}" for column, value in values.items())
+    # The writer escapes characters that a file system may not take; its own function names the folder.
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    leaf = "/".join(name(column, value) for column, value in values.items())
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{leaf}")
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 

@@ -11,18 +11,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.sources.charsets import decode_strings, spark_charset
-from martloom.sources.files import existing_paths, input_volume
+from martloom.sources.charsets import decode_strings, normal_name, spark_charset
+from martloom.sources.files import existing_paths
 
 _BAD = "_bad_record"
 _FILE = "_source_file"
 _BLOCK = "_source_block"
 _SEEN = "_seen"
 
-# A split is never smaller than the open cost unless it is a whole file or a file's end, which bounds the
-# number of splits and with it the table of split offsets. Below this many rows the table may be broadcast.
-_SMALLEST_SPLIT = 4 * 1024 * 1024
-_BROADCAST_SPLITS = 100_000
+# Stands for a cell without anything in it, so that quoted empty text stays apart from it. No text can hold it:
+# it is one of the characters that are escaped.
+_NOTHING = "\u0002"
+# What a delimited text cell cannot carry as it is, and the two characters that stand for it. The
+# first of the two is itself escaped. Files written elsewhere have none of them and read as they are.
+_ESCAPES = (
+    ("\u001a", "\u001as"),
+    ("\n", "\u001an"),
+    ("\r", "\u001ar"),
+    ("\u0000", "\u001a0"),
+    ("\u0001", "\u001a1"),
+    ("\u0002", "\u001a2"),
+)
 
 
 @dataclass(frozen=True)
@@ -44,11 +53,15 @@ class DelimitedFormat:
             "encoding": spark_charset(self.charset),
             "dateFormat": self.date_format,
             "columnNameOfCorruptRecord": _BAD,
+            "nullValue": _NOTHING,
         }
-        if self.charset.lower().startswith(("utf-16", "utf-32")):
-            # Lines of wide characters cannot be told apart by bytes, so such a file is decoded as a whole, in one
-            # stream and one task per file.
+        name = normal_name(self.charset)
+        if name in ("utf-16", "utf-32"):
+            # The byte order stands at the start of such a file only, so it is decoded as a whole, in one task. Files
+            # that come in a named byte order are split like any other.
             chosen["multiLine"] = "true"
+        elif name in ("utf-16-le", "utf-16-be"):
+            chosen["lineSep"] = "\n"
         if self.line_separator:
             chosen["lineSep"] = self.line_separator
         return chosen
@@ -58,8 +71,14 @@ class DelimitedFormat:
 
 
 def schema_from_file(spark: SparkSession, path: str) -> T.StructType:
-    """A schema kept in a text file, as JSON or as a DDL column list. It is metadata, a few lines long."""
-    text = "\n".join(row.value for row in spark.read.text(path, wholetext=True).take(1)).strip()
+    """A schema kept in a text file, as JSON or as a DDL column list. It is metadata, a few lines long.
+
+    Raises ValueError unless exactly one file under the path has text in it.
+    """
+    texts = [row.value.strip() for row in spark.read.text(path, wholetext=True).filter("trim(value) <> ''").take(2)]
+    if len(texts) != 1:
+        raise ValueError(f"{path} must have one schema file, not {'none' if not texts else 'several'}")
+    text = texts[0]
     if text.startswith("{"):
         return T.StructType.fromJson(json.loads(text))
     return T.StructType.fromDDL(text)
@@ -109,12 +128,29 @@ def _parsed_whole(schema: T.StructType) -> Column:
     return F.hash(*[F.col(f.name) for f in schema]) >= F.lit(-(2**31))
 
 
+def escaped(text: Column) -> Column:
+    """Text without line breaks and characters that delimited files cannot carry; ``unescaped`` undoes it."""
+    out = text
+    for plain, sign in _ESCAPES:
+        out = F.replace(out, F.lit(plain), F.lit(sign))
+    return F.when(text.rlike("[\\u0000-\\u0002\\u001a\r\n]"), out).otherwise(text)
+
+
+def unescaped(text: Column) -> Column:
+    out = text
+    for plain, sign in reversed(_ESCAPES):
+        out = F.replace(out, F.lit(sign), F.lit(plain))
+    return F.when(F.contains(text, F.lit(_ESCAPES[0][0])), out).otherwise(text)
+
+
 def _finish(frame: DataFrame, schema: T.StructType, layout: DelimitedFormat, extra: dict[str, Column]) -> DataFrame:
-    values = [
-        (F.coalesce(F.col(f.name), F.lit("")) if not f.nullable and f.dataType == T.StringType() else F.col(f.name))
-        .alias(f.name)
-        for f in schema
-    ]
+    def value(f: T.StructField) -> Column:
+        if f.dataType != T.StringType():
+            return F.col(f.name)
+        text = unescaped(F.col(f.name))
+        return text if f.nullable else F.coalesce(text, F.lit(""))
+
+    values = [value(f).alias(f.name) for f in schema]
     return decode_strings(frame.select(*values, *[c.alias(n) for n, c in extra.items()]), layout.charset)
 
 
@@ -142,7 +178,7 @@ def scan_delimited(
     frame = _raw(spark, found, schema, layout, "FAILFAST" if rejects == "fail" else "PERMISSIVE")
     extra: dict[str, Column] = {}
     if record_number or first_rows is not None:
-        frame = number_records(frame, "_record", splits_bound(spark, found))
+        frame = number_records(frame, "_record")
         if first_rows is not None:
             frame = frame.filter(F.col("_record") <= first_rows)
         if record_number:
@@ -200,26 +236,17 @@ def _reason(schema: T.StructType, layout: DelimitedFormat) -> Column:
     return outcome.otherwise(F.lit("record does not fit the schema"))
 
 
-def splits_bound(spark: SparkSession, paths: list[str]) -> int:
-    """An upper bound on the number of file splits, from file system totals."""
-    files, size = input_volume(spark, paths)
-    return 2 * files + size // _SMALLEST_SPLIT
-
-
-def number_records(frame: DataFrame, name: str, split_count_bound: int) -> DataFrame:
+def number_records(frame: DataFrame, name: str) -> DataFrame:
     """Number the records of each file in file order, without gathering a file in one task.
 
     A record's number is the count of records in the file's earlier splits plus its place in its own split.
-    Only one row per split is summed up and windowed; the records themselves are not shuffled, as the table
-    of split offsets is broadcast when the bound on its size allows it.
+    Only one row per split is summed up and windowed. How its offset reaches the records is left to Spark.
     """
     splits = frame.groupBy(_FILE, _BLOCK).agg(F.min(_SEEN).alias("_first"), F.count(F.lit(1)).alias("_records"))
     earlier = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         _FILE, _BLOCK, "_first", F.coalesce(F.sum("_records").over(earlier), F.lit(0)).alias("_before")
     )
-    if split_count_bound <= _BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
     return (
         frame.join(offsets, [_FILE, _BLOCK])
         .withColumn(name, F.col("_before") + F.col(_SEEN) - F.col("_first") + 1)

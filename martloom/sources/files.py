@@ -16,15 +16,3 @@ def _status(spark: SparkSession, path: str):
 def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """The given paths or patterns that match something."""
     return [path for path in paths if len(_status(spark, path)[1]) > 0]
-
-
-def input_volume(spark: SparkSession, paths: Sequence[str]) -> tuple[int, int]:
-    """(number of files, bytes) under the paths, from directory summaries."""
-    files = size = 0
-    for path in paths:
-        system, matches = _status(spark, path)
-        for match in matches:
-            summary = system.getContentSummary(match.getPath())
-            files += summary.getFileCount()
-            size += summary.getLength()
-    return files, size

@@ -159,8 +159,60 @@ def test_single_file(spark, tmp_path):
     df = spark.range(0, 1000, 1, 8)
     write_single_file(df, str(tmp_path / "one"))
     assert len(glob.glob(str(tmp_path / "one/part-*"))) == 1
-    with pytest.raises(ValueError, match="too many"):
-        write_single_file(df, str(tmp_path / "two"), most_bytes=100)
+    assert spark.read.csv(str(tmp_path / "one"), header=True).count() == 1000
+
+
+ODD_TEXTS = [
+    "plain", "line\nbreak", "carriage\r\nreturn", 'quote " and ""', "comma, semicolon;", "\u0001\u0002\u0000\u001a", "\u001an", "", None,
+    "\\n \\", " blanks ", "\t", "#comment", "€ é 😀", '"', '",', "x\u001a",
+]
+
+
+@pytest.mark.parametrize("charset", ["utf8", "UTF-16LE", "utf_16_be"])
+@pytest.mark.parametrize("separator", [",", "|", "\t"])
+def test_any_text_survives_a_round_trip(spark, tmp_path, charset, separator):
+    schema = StructType.fromDDL("id INT NOT NULL, name STRING, age INT, note STRING")
+    rows = [(k, t, None if k % 2 else k, ODD_TEXTS[-1 - k]) for k, t in enumerate(ODD_TEXTS)]
+    layout = DelimitedFormat(header=True, charset=charset, separator=separator)
+    write_delimited(spark.createDataFrame(rows, schema), str(tmp_path / "out"), layout)
+    assert sorted(map(tuple, scan_delimited(spark, str(tmp_path / "out"), schema, layout).collect())) == sorted(rows)
+
+
+def test_wide_characters_in_a_named_byte_order_are_read_in_splits(spark, tmp_path):
+    schema = StructType.fromDDL("n INT, pad STRING")
+    path = put(tmp_path / "a.csv", "".join(f'{i},"é{"p" * (i % 50)}"\n' for i in range(20_000)).encode("utf-16-le"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        df = scan_delimited(spark, path, schema, DelimitedFormat(charset="utf-16le"))
+        assert df.rdd.getNumPartitions() > 5
+        assert df.count() == 20_000 and df.agg(F.sum("n")).first()[0] == 19_999 * 10_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("alias", ["utf8", "U8", "latin1", "ISO_8859-1", "windows-1252", "CP1252", "koi8_r", "ascii"])
+def test_charset_aliases(spark, tmp_path, small, alias):
+    text = "plain" if alias == "ascii" else "Ж" if alias == "koi8_r" else "é"
+    path = put(tmp_path / "a.csv", f'1,"{text}",5\n'.encode(alias))
+    assert scan_delimited(spark, path, small, DelimitedFormat(charset=alias)).first()["name"] == text
+
+
+@pytest.mark.parametrize("name", ["shift_jis", "utf-32le", "gb2312", "no-such-set", "ebcdic-cp-us"])
+def test_other_charsets_are_refused(spark, tmp_path, small, name):
+    with pytest.raises(ValueError, match="character set"):
+        scan_delimited(spark, put(tmp_path / "a.csv", '1,"a",5\n'), small, DelimitedFormat(charset=name))
+
+
+def test_schema_file_must_be_one(spark, tmp_path):
+    put(tmp_path / "a.ddl", "a INT")
+    put(tmp_path / "empty.ddl", " ")
+    assert schema_from_file(spark, str(tmp_path / "*.ddl")).names == ["a"]
+    put(tmp_path / "b.ddl", "b INT")
+    with pytest.raises(ValueError, match="several"):
+        schema_from_file(spark, str(tmp_path / "*.ddl"))
+    with pytest.raises(ValueError, match="none"):
+        schema_from_file(spark, str(tmp_path / "empty.ddl"))
 
 
 def test_hot_key_is_cut_into_several_sorted_files(spark, tmp_path):

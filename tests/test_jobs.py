@@ -165,3 +165,27 @@ def test_rerun_without_customer_changes_clears_the_batch(spark, tmp_path):
     jobs.record_customer_changes(spark, customers, root, run)
     jobs.record_customer_changes(spark, customers.filter(F.col("customer_id") < -1), root, run)
     assert read_table(spark, f"{root}/customer_dim_audit", schemas.CUSTOMER_DIM_AUDIT).count() == 0
+
+
+@pytest.mark.parametrize("batch", ["B:1", "a/b=c", "50%", "plain"])
+def test_a_batch_of_any_name_is_removed(spark, tmp_path, batch):
+    from martloom.sinks.tables import drop_partition
+
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "J", batch), (2, "J", "other")], "v INT, job_name STRING, batch_id STRING")
+    rows.write.partitionBy("job_name", "batch_id").parquet(path)
+    drop_partition(spark, path, job_name="J", batch_id=batch)
+    assert [r.v for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_marts_round_a_date_with_a_fraction(spark):
+    from martloom.plans.retail import with_integer_date
+    from martloom.plans.validation import source_rules, strict
+
+    texts = {"20230525": 20230525, "12.7": 13, "1e3": 1000, "x": None, " 7 ": 7, "": None, None: None}
+    rows = [(1, "I", "d", 1, t, 1, 1, "c", 1) for t in texts]
+    names = "stockid INT, invoiceid STRING, description STRING, quantity INT, invoice_date STRING, price INT, customer_id INT, country STRING, productid INT"
+    df = spark.createDataFrame(rows, names)
+    assert sorted(r.invoice_date or 0 for r in with_integer_date(df).collect()) == sorted(v or 0 for v in texts.values())
+    kept = strict(df, source_rules()["transactions"])
+    assert sorted(r.invoice_date for r in kept.collect()) == sorted(t for t, v in texts.items() if v)
