@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,7 +16,9 @@ from martloom.plans.jobs import run_mart_file_job
 from martloom.samples import tables as T
 from martloom.samples.sql import with_tables
 from martloom.sinks.delimited import as_line, write_delimited, write_delimited_by_key
+from martloom.sinks.tables import append_rows, read_table, refresh_table
 from martloom.sources.delimited import DelimitedFormat, scan_delimited, scan_with_rejects, schema_from_file
+from martloom.sources.tables import table_source
 from martloom.workspace import scratch_path
 
 PLAIN = DelimitedFormat()
@@ -117,53 +121,38 @@ def scan_source_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("records"))
 
 
+_RANGE = 2_000
+
+
 def _sorted_orders(spark: SparkSession, sf_dir: str) -> str:
-    """Order numbers in ascending order inside each file, so a record's number can be told from its content."""
-    orders = T.read(spark, sf_dir, "orders").select(F.col("o_orderkey"), F.col("o_orderpriority"))
+    """One file for each range of order numbers, in ascending order, so that SQL can say which record is which."""
+    orders = T.read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey"), F.col("o_orderpriority"), F.floor(F.col("o_orderkey") / _RANGE).alias("key_range")
+    )
     path = scratch_path(spark, "orders")
-    write_delimited(orders.repartitionByRange(3, "o_orderkey").sortWithinPartitions("o_orderkey"), path, HEADED)
-    return path
+    write_delimited_by_key(orders, path, ["key_range"], HEADED, order_by=[sort_key("o_orderkey")])
+    return f"{path}/by_key_range=*"
 
 
-_ORDERS = "o_orderkey BIGINT, o_orderpriority STRING"
+_ORDERS = "o_orderkey BIGINT, o_orderpriority STRING, key_range BIGINT"
+_NUMBERED = (
+    "SELECT o_orderkey, o_orderpriority, "
+    f"row_number() OVER (PARTITION BY o_orderkey // {_RANGE} ORDER BY o_orderkey) AS record FROM orders"
+)
 
 
-@register(
-    "scan_record_number",
-    "SELECT o_orderkey, o_orderpriority, true AS in_file_order FROM orders",
-)
+@register("scan_record_number", _NUMBERED)
 def scan_record_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every record with a number that must be one more than the count of smaller keys in its file."""
+    """Every record with its number in its file."""
     schema = StructType.fromDDL(_ORDERS)
-    rows = scan_delimited(
-        spark, _sorted_orders(spark, sf_dir), schema, HEADED, source_name="source_file", record_number="record"
-    )
-    files = rows.groupBy("source_file").agg(F.min("o_orderkey").alias("first_key"))
-    return rows.join(files, "source_file").select(
-        "o_orderkey",
-        "o_orderpriority",
-        (F.col("record") == F.col("o_orderkey") - F.col("first_key") + 1).alias("in_file_order"),
-    )
+    return scan_delimited(spark, _sorted_orders(spark, sf_dir), schema, HEADED, record_number="record").drop("key_range")
 
 
-@register("scan_first_n", "SELECT count(*) AS records, true AS first_rows_kept FROM orders")
+@register("scan_first_n", f"SELECT o_orderkey, o_orderpriority FROM ({_NUMBERED}) AS x WHERE record <= 100")
 def scan_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 100 records of each file must be its 100 smallest keys, or all of a shorter file."""
-    path = _sorted_orders(spark, sf_dir)
+    """The first 100 records of each file."""
     schema = StructType.fromDDL(_ORDERS)
-    everything = scan_delimited(spark, path, schema, HEADED, source_name="source_file")
-    leading = scan_delimited(spark, path, schema, HEADED, source_name="source_file", first_rows=100)
-    whole = everything.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("records"), F.min("o_orderkey").alias("first_key")
-    )
-    kept = leading.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("kept"), F.max("o_orderkey").alias("last_key")
-    )
-    expected = F.least(F.lit(100), F.col("records"))
-    right = (F.col("kept") == expected) & (F.col("last_key") == F.col("first_key") + expected - 1)
-    return whole.join(kept, "source_file", "left").agg(
-        F.sum("records").alias("records"), F.bool_and(F.coalesce(right, F.lit(False))).alias("first_rows_kept")
-    )
+    return scan_delimited(spark, _sorted_orders(spark, sf_dir), schema, HEADED, first_rows=100).drop("key_range")
 
 
 _EURO = "€Š"
@@ -254,15 +243,12 @@ def sink_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     "sort_null_order",
     with_tables(
         "customer_dim",
-        "SELECT customertype, count(*) AS records, count(*) FILTER (WHERE age IS NULL) AS without_age, "
-        "true AS in_order FROM customer_dim GROUP BY customertype",
+        "SELECT customertype, customer_id, age, row_number() OVER (PARTITION BY customertype "
+        "ORDER BY age DESC NULLS FIRST, customer_id) AS record FROM customer_dim",
     ),
 )
 def sort_null_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written per customer type, sorted by age descending with nulls first; each file is checked after a re-scan.
-
-    The check asks that no record's predecessor in the file breaks the order.
-    """
+    """Written per customer type, sorted by age descending with nulls first, and read back with record numbers."""
     path = scratch_path(spark, "by_type")
     write_delimited_by_key(
         T.customer_dim(spark, sf_dir).select("customertype", "customer_id", "age"),
@@ -271,27 +257,56 @@ def sort_null_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         HEADED,
         order_by=[sort_key("age", descending=True, nulls="first"), sort_key("customer_id")],
     )
-    rows = scan_delimited(
-        spark,
-        f"{path}/by_customertype=*",
-        StructType.fromDDL("customertype STRING, customer_id INT, age INT"),
-        HEADED,
-        source_name="source_file",
-        record_number="record",
-    )
-    following = rows.select("source_file", (F.col("record") + 1).alias("record"), F.col("age").alias("before"), F.lit(True).alias("has"))
-    paired = rows.join(following, ["source_file", "record"], "left")
-    wrong = F.col("has").isNotNull() & F.coalesce(
-        F.when(F.col("before").isNull(), F.lit(False))
-        .when(F.col("age").isNull(), F.lit(True))
-        .otherwise(F.col("age") > F.col("before")),
-        F.lit(False),
-    )
-    return paired.groupBy("customertype").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("age").isNull()).alias("without_age"),
-        (F.count_if(wrong) == 0).alias("in_order"),
+    schema = StructType.fromDDL("customertype STRING, customer_id INT, age INT")
+    return scan_delimited(spark, f"{path}/by_customertype=*", schema, HEADED, record_number="record")
+
+
+_ODD_SQL = (
+    "SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN c_name || chr(10) || c_mktsegment WHEN 1 THEN chr(13) || c_name "
+    "WHEN 2 THEN '\"' || c_name || '\",' WHEN 3 THEN c_name || chr(1) || chr(26) || 'n' WHEN 4 THEN '' WHEN 5 THEN NULL "
+    "WHEN 6 THEN chr(2) || ' ' || c_name || ' ' ELSE c_name || '|' || chr(9) END AS odd FROM customer"
+)
+
+
+@register("sink_round_trip", _ODD_SQL)
+def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text with line breaks, quotes, separators and control characters, empty text and null, out and in again."""
+    name, kind = F.col("c_name"), F.col("c_custkey") % 8
+    odd = (
+        F.when(kind == 0, F.concat(name, F.lit("\n"), "c_mktsegment"))
+        .when(kind == 1, F.concat(F.lit("\r"), name))
+        .when(kind == 2, F.concat(F.lit('"'), name, F.lit('",')))
+        .when(kind == 3, F.concat(name, F.lit("\u0001\u001an")))
+        .when(kind == 4, F.lit(""))
+        .when(kind == 5, F.lit(None))
+        .when(kind == 6, F.concat(F.lit("\u0002 "), name, F.lit(" ")))
+        .otherwise(F.concat(name, F.lit("|\t")))
     )
+    path = _stored(T.read(spark, sf_dir, "customer").select("c_custkey", odd.alias("odd")), "odd")
+    return scan_delimited(spark, path, StructType.fromDDL("c_custkey BIGINT, odd STRING"), HEADED)
+
+
+# --- tables ---------------------------------------------------------------------------------------------------
+
+
+@register("table_refresh", _select("retail"))
+def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table filled, filled anew, and read by its declared columns."""
+    name = f"retail_dim_{uuid.uuid4().hex}"
+    stores = T.retail_dim(spark, sf_dir)
+    refresh_table(stores.filter("stockid < 10"), name)
+    refresh_table(stores.withColumn("undeclared", F.lit(1)), name)
+    return table_source(spark, name, schemas.RETAIL_DIM)
+
+
+@register("table_append", _select("product"))
+def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written in two parts; the second lacks a column, which is null in its rows only."""
+    path = scratch_path(spark, "appended")
+    products = T.product_dim(spark, sf_dir)
+    append_rows(products.filter("quantity IS NOT NULL"), path, schemas.PRODUCT_DIM)
+    append_rows(products.filter("quantity IS NULL").drop("quantity"), path, schemas.PRODUCT_DIM)
+    return read_table(spark, path, schemas.PRODUCT_DIM)
 
 
 # --- the file-to-file job -------------------------------------------------------------------------------------
