@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.operators.copies import collapse_copies, copy_numbers
+from martloom.workspace import scratch_path
 
 KEYS_PER_BUCKET = 1_000_000
-HASH_BUCKETS = 4096
+ROWS_PER_BUCKET = 200_000
 
 
 def _starts(counts: DataFrame) -> DataFrame:
@@ -43,12 +44,17 @@ def number_by_key(df: DataFrame, key: str, name: str, after: Column | int = 0) -
     )
 
 
-def number_rows(df: DataFrame, name: str, after: Column | int = 0, buckets: int = HASH_BUCKETS) -> DataFrame:
+def number_rows(df: DataFrame, name: str, after: Column | int = 0, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Consecutive numbers for arbitrary rows, in no particular order.
 
-    Rows are bucketed by a hash of all their columns, so no column's skew matters; equal rows are packed
-    first, and unpacked after each pack has its own range of numbers.
+    The rows are written once, so that counting and numbering don't each work them out. They are bucketed by a hash of
+    all their columns, so no column's skew matters, and there are as many buckets as their number asks for; equal
+    rows are packed first, and unpacked after each pack has its own range of numbers.
     """
+    path = scratch_path(df.sparkSession, "to-number")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
+    buckets = max(1, -(-df.count() // rows_per_bucket))
     base = after if isinstance(after, Column) else F.lit(after)
     order = [c for c in df.columns]
     packed = collapse_copies(df).withColumn(

@@ -197,6 +197,7 @@ def run_policy_load(
         load = f"{clock():%Y%m%d%H%M%S%f}-{run.batch_id}"
         folder = _load_folder(root, load)
 
+        scd2.check_source(due, report)
         seen = Observation("versions")
         kinds = [F.count_if(F.col("kind") == kind).alias(kind) for kind in (scd2.ADDED, scd2.CLOSED)]
         scd2.versions(due, dimension, run).observe(seen, *kinds).write.partitionBy("kind").parquet(folder)

@@ -11,7 +11,8 @@ from martloom.context import RunContext
 from martloom.functions import any_of, as_object, day_before, differs
 from martloom.operators.checks import duplicates
 from martloom.operators.numbering import next_key, number_by_key
-from martloom.schemas import DIM_POLICY, POLICY_SRC
+from martloom.schemas import DIM_POLICY, POLICY_SRC, POLICY_VERSIONS
+from martloom.workspace import scratch_path
 
 # Tracked attributes, the reject text, flags.
 ATTRIBUTES = ("policy_holder_name", "policy_type", "premium_amount", "start_date", "end_date")
@@ -141,7 +142,10 @@ def versions(due: DataFrame, dimension: DataFrame, run: RunContext) -> DataFrame
 def full_image(due: DataFrame, dimension: DataFrame, run: RunContext) -> DataFrame:
     """The whole dimension after the run: closed history, untouched rows, rows closed now, and new versions."""
     history = dimension.filter(F.col("current_flag") != CURRENT).select(*DIM_POLICY.names)
-    image = versions(due, dimension, run)
+    # Written once, so that standing rows, added rows and their numbering share one join.
+    path = scratch_path(due.sparkSession, "policy-versions")
+    versions(due, dimension, run).write.parquet(path)
+    image = due.sparkSession.read.schema(POLICY_VERSIONS).parquet(path)
     standing = image.filter(F.col("kind") != ADDED).select(*DIM_POLICY.names)
     added = image.filter(F.col("kind") == ADDED).drop("policy_key", "kind")
     return history.unionByName(standing).unionByName(with_keys(added, dimension))
@@ -187,6 +191,19 @@ def conflicts(image: DataFrame, run: RunContext) -> DataFrame:
     )
 
 
+def check_source(due: DataFrame, report: Callable[[DataFrame], str] | None = None) -> None:
+    """Refuse a source that has a policy more than once, before the join that would bring its rows together.
+
+    Only ids are shuffled, counted map-side first. The error says how many there are; ``report`` stores all of them.
+    """
+    twice = duplicates(due, "POLICY_SRC", ["policy_id"]).select(
+        F.col("key_value").alias("policy_id"), F.lit("given more than once").alias("reason")
+    )
+    n = twice.count()
+    if n:
+        raise PolicyLoadError(f"{n} policies given more than once" + (f"; they are listed in {report(twice)}" if report else ""))
+
+
 def check_versions(image: DataFrame, run: RunContext, report: Callable[[DataFrame], str] | None = None) -> None:
     """Refuse rows that have ``conflicts``. The error says how many there are, by reason; ``report`` stores all of them
     and returns where."""

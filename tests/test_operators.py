@@ -171,7 +171,7 @@ def test_numbers_by_key_follow_the_key_order(spark):
 
 def test_numbers_of_rows_are_consecutive_even_for_copies(spark):
     df = spark.range(300).select((F.col("id") % 7).alias("a"), F.when(F.col("id") % 3 == 0, "same").alias("b"))
-    out = numbering.number_rows(df, "id", after=10, buckets=5)
+    out = numbering.number_rows(df, "id", after=10, rows_per_bucket=5)
     assert sorted(r["id"] for r in out.collect()) == list(range(11, 311))
     assert rows(out.drop("id")) == rows(df)
 

@@ -97,7 +97,7 @@ def test_a_third_of_equal_rows_is_spread_when_asked(spark):
     df = spark.range(0, ROWS, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
     packed = clustered(df, ["k"], split_copies=True)
     assert packed.count() == ROWS and packed.filter("k = -1").count() == ROWS / 3
-    numbered = numbering.number_rows(df, "n", buckets=16)
+    numbered = numbering.number_rows(df, "n", rows_per_bucket=5000)
     assert numbered.select("n").distinct().count() == ROWS
     assert numbered.agg(F.max("n")).first()[0] == ROWS
 
