@@ -55,3 +55,8 @@ def test_large_sides_are_merged_not_broadcast(spark, no_broadcast):
 def test_marts_read_only_needed_columns(spark):
     text = plan(contract.queries()["count_transactions"](spark, SF))
     assert "l_extendedprice" not in text and "p_name" not in text
+
+
+def test_foreign_keys_read_the_fact_once(spark, no_broadcast):
+    text = plan(contract.queries()["dq_relationships"](spark, SF))
+    assert text.count("/lineitem.parquet]") == 1
