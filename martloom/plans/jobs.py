@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.context import RunContext
+from martloom.operators.numbering import next_key, number_rows
 from martloom.plans import audit, customer_audit, rejects, retail, scd2
+from martloom.plans.dimension_changes import dimension_changes
 from martloom.sinks.delimited import write_delimited
 from martloom.sinks.tables import append_rows, clustered, drop_partition, read_table, refresh_path, replace_batch
 from martloom.sources.delimited import DelimitedFormat, scan_delimited
@@ -105,10 +107,15 @@ def run_retail_mart(
 
 
 def store_rejects(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run: RunContext) -> int:
-    """Put this batch's rejects in place of those it may already have; returns how many there are."""
-    bad, rejected = counted(rejects.retail_rejects(sources, run), "rejected")
+    """Put this batch's rejects, with ids after all others', in place of those it may already have; returns how many
+    there are."""
     path = _table(root, "job_rejects")
-    replace_batch(bad, path, schemas.JOB_REJECTS)
+    others = None
+    if path_exists(spark, path):
+        own = (F.col("job_name") == run.job_name) & (F.col("batch_id") == run.batch_id)
+        others = read_table(spark, path, schemas.STORED_REJECTS).filter(~own)
+    bad, rejected = counted(rejects.with_reject_ids(rejects.retail_rejects(sources, run), others), "rejected")
+    replace_batch(bad, path, schemas.STORED_REJECTS)
     rows = rejected.get["rows"]
     if rows == 0:
         drop_partition(spark, path, job_name=run.job_name, batch_id=run.batch_id)
@@ -136,6 +143,19 @@ def record_customer_changes(spark: SparkSession, customers: DataFrame, root: str
         drop_partition(spark, path, batch_id=run.batch_id)
 
 
+def record_dimension_changes(
+    spark: SparkSession, old: DataFrame, new: DataFrame, key: str, columns: Sequence[str], name: str, root: str, run: RunContext
+) -> int:
+    """Append what changed between two images of a dimension, with ids after the stored ones; returns how many rows."""
+    path = _table(root, "dimension_audit")
+    stored = read_table(spark, path, schemas.DIMENSION_AUDIT) if path_exists(spark, path) else None
+    after = next_key(stored, "audit_id") if stored is not None else 0
+    changes = number_rows(dimension_changes(old, new, key, columns, name, run), "audit_id", after=after)
+    rows, seen = counted(changes, "changes")
+    append_rows(rows, path, schemas.DIMENSION_AUDIT)
+    return seen.get["rows"]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

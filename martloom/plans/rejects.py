@@ -44,7 +44,8 @@ def retail_rejects(sources: Mapping[str, DataFrame], run: RunContext) -> DataFra
 def with_reject_ids(rejects: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Reject records with the next consecutive ids and their creation time, for a table that keeps them.
 
-    ``stored`` is that table; its largest id is where the new ones start. Equal records get ids of their own.
+    ``stored`` is that table; its largest id is where the new ones start. Equal records get ids of their own. Ids
+    depend on the records and the stored ids alone, so a rerun gives the same ones.
     """
     after = next_key(stored, "reject_id") if stored is not None else 0
     return number_rows(rejects, "reject_id", after=after).withColumn("created_at", F.col("reject_time"))

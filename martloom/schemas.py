@@ -85,6 +85,11 @@ JOB_REJECTS = _fields(
     "batch_id STRING, job_name STRING, reject_time TIMESTAMP_NTZ, source_table STRING, primary_key_value STRING, "
     "error_description STRING, raw_data STRING"
 )
+# As stored: with the table's own id and the time a record was made.
+STORED_REJECTS = _fields(
+    "reject_id BIGINT, batch_id STRING, job_name STRING, reject_time TIMESTAMP_NTZ, source_table STRING, "
+    "primary_key_value STRING, error_description STRING, raw_data STRING, created_at TIMESTAMP_NTZ"
+)
 CUSTOMER_DIM_AUDIT = _fields(
     "batch_id STRING, customer_id INT, customername STRING, spending_score INT, annual_incomek INT, gender STRING, "
     "age INT, customertype STRING, change_type STRING, change_timestamp TIMESTAMP_NTZ, "

@@ -189,3 +189,30 @@ def test_marts_round_a_date_with_a_fraction(spark):
     assert sorted(r.invoice_date or 0 for r in with_integer_date(df).collect()) == sorted(v or 0 for v in texts.values())
     kept = strict(df, source_rules()["transactions"])
     assert sorted(r.invoice_date for r in kept.collect()) == sorted(t for t, v in texts.items() if v)
+
+
+def test_dimension_changes_are_stored_with_ids(spark, tmp_path):
+    columns = "id INT, a STRING"
+    images = [spark.createDataFrame(rows, columns) for rows in ([(1, "x"), (2, "y")], [(1, "x"), (2, "z"), (3, "n")], [(1, "q")])]
+    run = RunContext.start(RETAIL_JOB)
+    assert jobs.record_dimension_changes(spark, images[0], images[1], "id", ["id", "a"], "D", str(tmp_path), run) == 2
+    assert jobs.record_dimension_changes(spark, images[1], images[2], "id", ["id", "a"], "D", str(tmp_path), run) == 3
+    assert jobs.record_dimension_changes(spark, images[2], images[2], "id", ["id", "a"], "D", str(tmp_path), run) == 0
+    rows = read_table(spark, f"{tmp_path}/dimension_audit", schemas.DIMENSION_AUDIT).collect()
+    assert sorted(r.audit_id for r in rows) == [1, 2, 3, 4, 5]
+    assert sorted((r.change_type, r.record_key) for r in rows if r.audit_id > 2) == [("DELETE", "2"), ("DELETE", "3"), ("UPDATE", "1")]
+
+
+def test_stored_rejects_have_ids_that_a_rerun_repeats(spark, tmp_path):
+    sources = T.retail_sources(spark, "/root/testdata/sf0.001")
+    first, second = (RunContext.start(RETAIL_JOB, datetime(2024, 1, d)) for d in (1, 2))
+    stored = lambda: {
+        (r.batch_id, r.reject_id): (r.source_table, r.primary_key_value)
+        for r in read_table(spark, f"{tmp_path}/job_rejects", schemas.STORED_REJECTS).collect()
+    }
+    n = jobs.store_rejects(spark, sources, str(tmp_path), first)
+    jobs.store_rejects(spark, sources, str(tmp_path), second)
+    before = stored()
+    assert sorted(i for _, i in before) == list(range(1, 2 * n + 1))
+    jobs.store_rejects(spark, sources, str(tmp_path), second)
+    assert stored() == before
