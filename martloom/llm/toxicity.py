@@ -31,7 +31,9 @@ from martloom.llm.common import held, text_of
 TRAINING_ROWS = 12_000
 #: Terms of the lexicon at most.
 TERMS = 3000
-LEAST_CONTEXTS = 3
+#: Contexts that a term has in toxic texts at least: so many, and so many for each toxic text learned from. The rarest
+#: words of toxic texts are there by chance.
+LEAST_CONTEXTS, LEAST_SHARE = 3, 0.005
 LEAST_RATIO = 8.0
 #: Letters from which a term may be misspelled.
 LEAST_LETTERS = 5
@@ -45,7 +47,10 @@ _REPORTING = re.compile(
     r"\b(?:quot\w*|said|says|wrote|writes|called|calls|claim\w*|report\w*|zitier\w*|sagte|schrieb|nannte|dit|écrit|cité\w*|dijo|citó|escribió)\b"
 )
 #: Log-odds that a score begins with: of no hit, then of exact, misspelled, quoted and quoted misspelled terms.
-_PRIOR = np.array([-3.0, 4.0, 2.0, 0.5, 0.2])
+_PRIOR = np.array([-3.0, 4.0, 3.0, 1.0, 0.5])
+#: What a text with one such term is taken to be where labels don't say, as so many texts of that share of toxic ones:
+#: texts with one hit, or with quoted or misspelled ones only, may be rare among the labelled.
+_SUPPOSED, _SUPPOSED_ROWS = (0.9, 0.5, 0.05, 0.03), 40
 
 
 class Automaton:
@@ -200,6 +205,9 @@ def _contexts(train: DataFrame) -> DataFrame:
 
 def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Logistic regression around the prior weights, by Newton's steps."""
+    one = np.hstack([np.ones((4, 1)), np.eye(4)])
+    x = np.vstack([x, np.repeat(one, _SUPPOSED_ROWS, axis=0)])
+    y = np.concatenate([y, np.repeat(_SUPPOSED, _SUPPOSED_ROWS)])
     w = _PRIOR.copy()
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -217,7 +225,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: F.Column, rows: int = TRAI
     counts = held(_contexts(train), "contexts")
     total = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
     odds = F.col("toxic") / float(total["toxic"] or 1) / ((F.col("clean") + 1) / float(total["clean"] or 1))
-    likely = (F.col("toxic") >= LEAST_CONTEXTS) & (odds >= LEAST_RATIO) & (F.length("word") >= 3)
+    toxic_rows = own.agg(F.sum("toxic")).first()[0] or 0
+    likely = (F.col("toxic") >= max(LEAST_CONTEXTS, LEAST_SHARE * toxic_rows)) & (odds >= LEAST_RATIO) & (F.length("word") >= 3)
     terms = [r["word"] for r in counts.filter(likely).orderBy(F.desc("toxic"), "word").limit(TERMS).collect()]
 
     def misspellings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from martloom.llm import queries
@@ -41,6 +42,16 @@ def test_quotation_and_misspelling_lower_a_hit():
     assert kinds("don't be an idiot, it's bad") == [(False, False)]
 
 
+def test_scores_of_few_hits_where_labels_say_nothing():
+    rows = [[1.0, 0, 0, 0, 0]] * 3000 + [[1.0, 2.5, 0, 0, 0]] * 300
+    w = m._fit(np.array(rows), np.array([0] * 3000 + [1] * 300))
+    score = lambda *x: 1 / (1 + np.exp(-np.dot([1.0, *x], w)))
+    assert score(0, 0, 0, 0) < 0.05
+    assert score(1, 0, 0, 0) >= m.TOXIC_FROM > score(0, 1, 0, 0)
+    assert score(0, 1.6, 0, 0) >= m.TOXIC_FROM
+    assert score(0, 0, 1.6, 0) < m.TOXIC_FROM
+
+
 def test_held_out_labels(spark):
     rows = queries.op3_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
     cells = {(r.toxic, r.predicted): r["count"] for r in rows.filter("held_out AND toxic IS NOT NULL").groupBy("toxic", "predicted").count().collect()}
