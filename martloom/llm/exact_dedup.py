@@ -59,7 +59,8 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bi
         "recipes",
     )
     groups = rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, "recipe")
+    # Written, the groups are an input of the join like the rows, and adaptive execution can cut a large group's rows.
+    return rows.join(held(groups, "groups"), "recipe")
 
 
 def keep_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
