@@ -1,14 +1,11 @@
 """Byte-level BPE over a global shuffle of distinct words, and decoding by the token-byte table.
 
 Encoding. A task cuts its texts into pre-tokens by the vocabulary's pattern and puts texts together to blocks. A block has
-each of its distinct pre-tokens once, numbered, and its texts as sequences of those numbers. The rows (block, number,
-pre-token) are shuffled and sorted by pre-token, over the whole corpus; each distinct one is encoded once and its ids are
-handed to all its rows, which go back to their blocks. There the numbers are replaced by ids, text by text. A frequent
-pre-token has one row a block, so it makes no hot task.
-
-The texts are cut twice, once for the rows and once for the sequences, rather than stored between: a block's key is a hash
-of its texts, so two readings that don't agree end in an error, not in wrong ids. `encode` writes its input to the shared
-folder first, unless it is told that reading it twice gives the same partitions, as reading a table does.
+each of its distinct pre-tokens once, numbered, and its texts as sequences of those numbers. Blocks are written once, to a
+table bucketed by block, so that only pre-tokens and ids are shuffled. The
+distinct pre-tokens of all blocks are shuffled by their hash. Where equal ones meet, each is encoded once and its ids are
+handed to all blocks that have it. They go back to their blocks, where the numbers are replaced by ids, text by text. A
+frequent pre-token comes once a block, so it makes no hot task.
 
 Decoding looks ids up in the table of token bytes, which is as large as the vocabulary.
 
@@ -20,20 +17,27 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
+import zlib
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import held, text_of
+from martloom.llm.common import text_of
 
 #: Bytes of text after which a block ends.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 8_000_000
+#: The hash of a pre-token deals it to one of so many buckets: one for two blocks, within these limits.
+LEAST_BUCKETS, MOST_BUCKETS = 16, 4096
+_PRETOKENS_AT_ONCE = 500_000
+#: Numbers below this take one byte.
+_SMALL = np.uint32(192)
 _ENCODERS: dict[bytes, object] = {}
 
 
@@ -64,35 +68,49 @@ def _encoder(file: bytes, pattern: str):
     return _ENCODERS[key]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple]:
-    """(key, doc_ids, counts, numbers, words) of each block of a partition's rows (doc_id, text)."""
-    import regex
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers by byte, all lowest bytes first, compressed."""
+    return zstandard.ZstdCompressor(level=3).compress(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+
 
-    cut = regex.compile(pattern).findall
-    partition = str(TaskContext.get().partitionId()).encode()
+def _sequence(numbers: np.ndarray) -> list[bytes]:
+    """A text's numbers, small ones frequent, in streams: a byte each, and what doesn't fit into it, lowest bits first."""
+    large = numbers >= _SMALL
+    rest = numbers[large] - _SMALL
+    top = rest >> 12
+    first = numbers.astype(np.uint8)
+    first[large] = _SMALL + np.minimum(top, 255 - _SMALL)
+    streams = (first, (rest & 255).astype(np.uint8), ((rest >> 8) & 15).astype(np.uint8), top[top >= 255 - _SMALL])
+    return [zstandard.ZstdCompressor(level=3).compress(x.tobytes()) for x in streams]
 
-    def new():
-        return xxhash.xxh64(partition), [], [], [], _Numbers(), 0
 
-    digest, ids, counts, numbers, words, size = new()
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            ids.append(part.column(0))
-            for text in part.column(1).to_pylist():
-                digest.update(f"{len(text)}:{text}".encode())
-                numbers.append(np.fromiter(map(words.__getitem__, cut(text)), np.uint32))
-                counts.append(len(numbers[-1]))
-                size += len(text.encode())
-            if size >= BLOCK_BYTES:
-                yield digest, ids, counts, numbers, words
-                digest, ids, counts, numbers, words, size = new()
-    if counts:
-        yield digest, ids, counts, numbers, words
+def _from_sequence(streams: list[bytes]) -> np.ndarray:
+    first, low, middle, high = (zstandard.ZstdDecompressor().decompress(x) for x in streams)
+    numbers = np.frombuffer(first, np.uint8).astype(np.uint32)
+    large = numbers >= _SMALL
+    top = numbers[large] - _SMALL
+    top[top == 255 - _SMALL] = np.frombuffer(high, np.uint32)
+    numbers[large] = (
+        _SMALL + (top << 12) + (np.frombuffer(middle, np.uint8).astype(np.uint32) << 8) + np.frombuffer(low, np.uint8)
+    )
+    return numbers
+
 
+def _joined_words(words: list[str]) -> tuple[bytes, bytes]:
+    """Sizes and bytes of words."""
+    data = [w.encode() for w in words]
+    return _planes(np.array([len(x) for x in data], np.uint32)), zstandard.ZstdCompressor(level=3).compress(b"".join(data))
 
-def _key(digest: xxhash.xxh64) -> int:
-    return int(np.uint64(digest.intdigest()).view(np.int64))
+
+def _split_words(sizes: bytes, data: bytes) -> list[str]:
+    ends = np.concatenate([[0], np.cumsum(_from_planes(sizes), dtype=np.int64)]).tolist()
+    data = zstandard.ZstdDecompressor().decompress(data)
+    return [data[a:b].decode() for a, b in pairwise(ends)]
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -101,87 +119,144 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - starts, sizes)
 
 
-def encode(
-    docs: DataFrame,
-    vocabulary: str,
-    pattern: str,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    same_twice: bool = False,
-) -> DataFrame:
-    """(doc_id, ids array<int>) of each row. vocabulary: path of a rank file."""
-    spark = docs.sparkSession
-    file = spark.sparkContext.broadcast(read_ranks(vocabulary))
-    own = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    own = own if same_twice else held(own, "texts")
-    kind = own.schema["doc_id"].dataType.simpleString()
-
-    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for digest, _, _, _, words in _blocks(batches, pattern):
-            key, all_words = _key(digest), list(words)
-            for start in range(0, len(all_words), 20_000):
-                part = all_words[start : start + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(part), key)),
-                        pa.array(np.arange(start, start + len(part), dtype=np.int32)),
-                        pa.array(part, pa.string()),
-                    ],
-                    ["block", "number", "word"],
-                )
+def _blocks(own: DataFrame, pattern: str, kind: str) -> DataFrame:
+    """(block, doc_ids, counts, numbers, sizes, words): the texts of rows (doc_id, text), cut and numbered."""
 
-    def sequences_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Numbers are packed by byte, all lowest bytes first: most of a block's words are among its first ones.
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for digest, ids, counts, numbers, words in _blocks(batches, pattern):
-            planes = np.concatenate(numbers).view(np.uint8).reshape(-1, 4).T.tobytes()
-            yield pa.RecordBatch.from_arrays(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        cut = regex.compile(pattern).findall
+        first = TaskContext.get().partitionId() << 32
+        ids, counts, numbers, words, size, made = [], [], [], _Numbers(), 0, 0
+
+        def block() -> pa.RecordBatch:
+            own = np.concatenate(numbers)
+            # The more frequent, the smaller the number.
+            order = np.argsort(-np.bincount(own, minlength=len(words)), kind="stable")
+            rank = np.empty(len(words), np.uint32)
+            rank[order] = np.arange(len(words), dtype=np.uint32)
+            in_order = list(words)
+            sizes, data = _joined_words([in_order[k] for k in order])
+            return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_key(digest)], pa.int64()),
-                    pa.array([len(words)], pa.int32()),
+                    pa.array([first + made], pa.int64()),
                     pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)),
                     pa.array([counts], pa.list_(pa.int32())),
-                    pa.array([pack(planes)], pa.binary()),
+                    pa.array([_sequence(rank[own])], pa.list_(pa.binary())),
+                    pa.array([sizes], pa.binary()),
+                    pa.array([data], pa.binary()),
                 ],
-                ["block", "words", "doc_ids", "counts", "planes"],
+                ["block", "doc_ids", "counts", "numbers", "sizes", "words"],
             )
 
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                ids.append(part.column(0))
+                for text in part.column(1).to_pylist():
+                    numbers.append(np.fromiter(map(words.__getitem__, cut(text)), np.uint32))
+                    counts.append(len(numbers[-1]))
+                    size += len(text)
+                if size >= BLOCK_BYTES:
+                    yield block()
+                    ids, counts, numbers, words, size, made = [], [], [], _Numbers(), 0, made + 1
+        if counts:
+            yield block()
+
+    return own.mapInArrow(
+        run,
+        f"block bigint, doc_ids array<{kind}>, counts array<int>, numbers array<binary>, sizes binary, words binary",
+    )
+
+
+def _encoded_words(blocks: DataFrame, file, pattern: str) -> DataFrame:
+    """(block, numbers, sizes, ids): of a block's pre-tokens in one bucket, their numbers, how many ids each has, the ids."""
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, blocks.count() // 2))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, sizes, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own: list[list[tuple[str, int]]] = [[] for _ in range(buckets)]
+                for number, word in enumerate(_split_words(sizes, data)):
+                    own[zlib.crc32(word.encode()) % buckets].append((word, number))
+                rows = []
+                for bucket, pairs in enumerate(own):
+                    if pairs:
+                        # Words in order compress well.
+                        words, numbers = zip(*sorted(pairs), strict=True)
+                        rows.append((block, bucket, _planes(np.array(numbers)), *_joined_words(list(words))))
+                types = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)],
+                    ["block", "bucket", "numbers", "sizes", "words"],
+                )
+
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_word = _encoder(file.value, pattern).encode_ordinary
-        last, ids = None, b""
+        bucket, known = None, {}
         for batch in batches:
-            out = []
-            for word in batch.column(2).to_pylist():
-                if word != last:
-                    last, ids = word, np.array(encode_word(word), "<u4").tobytes()
-                out.append(ids)
+            sizes, ids = [], []
+            for own, lengths, data in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4)), strict=True):
+                if own != bucket:
+                    bucket, known = own, {}
+                found = []
+                for word in _split_words(lengths, data):
+                    if word not in known:
+                        known[word] = encode_word(word)
+                    found.append(known[word])
+                sizes.append(_planes(np.fromiter(map(len, found), np.uint32, len(found))))
+                ids.append(_planes(np.fromiter(chain.from_iterable(found), np.uint32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["block", "number", "ids"]
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
+                ["block", "numbers", "sizes", "ids"],
             )
 
-    def assembled(key: tuple, rows: pa.Table, words: pa.Table) -> pa.Table:
-        order = np.argsort(words.column("number").to_numpy())
-        words = words.column("ids").combine_chunks().take(pa.array(order))
-        sizes = pa.compute.binary_length(words).to_numpy().astype(np.int64) // 4
-        if rows.num_rows != 1 or rows.column("words")[0].as_py() != len(words):
-            raise RuntimeError("two readings of the texts did not give the same blocks; encode a written table")
-        flat = np.frombuffer(b"".join(words.to_pylist()), "<u4").astype(np.int32)
-        starts = np.cumsum(sizes) - sizes
-        planes = zstandard.ZstdDecompressor().decompress(rows.column("planes")[0].as_py())
-        numbers = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
-        doc_ids, counts = (rows.column(x)[0].values for x in ("doc_ids", "counts"))
-        own = sizes[numbers]
-        ends = np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(counts.to_numpy())])]
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[_ragged(starts[numbers], own)], pa.int32()))
-        return pa.table({"doc_id": doc_ids, "ids": lists})
-
-    rows = own.mapInArrow(words_of, "block bigint, number int, word string")
-    rows = rows.repartition("word").sortWithinPartitions("word").mapInArrow(encoded, "block bigint, number int, ids binary")
-    blocks = own.mapInArrow(
-        sequences_of, f"block bigint, words int, doc_ids array<{kind}>, counts array<int>, planes binary"
+    rows = blocks.select("block", "sizes", "words").mapInArrow(
+        dealt, "block bigint, bucket int, numbers binary, sizes binary, words binary"
     )
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(encoded, "block bigint, numbers binary, sizes binary, ids binary")
+
+
+def _bucketed(blocks: DataFrame) -> DataFrame:
+    """The blocks, written as a table bucketed by block in the warehouse: later joins by block leave them where they are."""
+    spark = blocks.sparkSession
+    name = f"byte_bpe_blocks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.format("parquet").bucketBy(buckets, "block").saveAsTable(name)
+    return spark.table(name)
+
+
+def encode(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids array<int>) of each row. vocabulary: path of a rank file, on the driver's machine."""
+    file = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
+    own = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
+    kind = own.schema["doc_id"].dataType.simpleString()
+    blocks = _bucketed(_blocks(own, pattern, kind))
+
+    def assembled(block: pa.Table, words: pa.Table) -> pa.Table:
+        numbers = _from_sequence(block.column("numbers")[0].as_py())
+        at, size, flat = (
+            np.concatenate([np.zeros(0, np.uint32), *map(_from_planes, words.column(x).to_pylist())]).astype(np.int32)
+            for x in ("numbers", "sizes", "ids")
+        )
+        starts, sizes = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        starts[at], sizes[at] = np.cumsum(size, dtype=np.int64) - size, size
+        parts = []
+        for k in range(0, len(numbers), _PRETOKENS_AT_ONCE):
+            n = numbers[k : k + _PRETOKENS_AT_ONCE]
+            parts.append(flat[_ragged(starts[n], sizes[n])])
+        doc_ids, counts = (block.column(x)[0].values for x in ("doc_ids", "counts"))
+        ends = np.concatenate([[0], np.cumsum(sizes[numbers])])[np.concatenate([[0], np.cumsum(counts.to_numpy())])]
+        tokens = np.concatenate(parts) if parts else flat[:0]
+        return pa.table({"doc_id": doc_ids, "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens))})
+
+    words = _encoded_words(blocks, file, pattern)
     return (
-        blocks.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(assembled, f"doc_id {kind}, ids array<int>")
+        blocks.drop("sizes", "words")
+        .groupBy("block")
+        .cogroup(words.groupBy("block"))
+        .applyInArrow(assembled, f"doc_id {kind}, ids array<int>")
     )
 
 
@@ -196,11 +271,14 @@ def token_bytes(vocabulary: str) -> list[bytes | None]:
 
 def _joined(lists: pa.ListArray, table: pa.BinaryArray) -> list[bytes]:
     """The bytes of each list of ids, looked up in the table and put together."""
-    out = []
-    for k in range(len(lists)):
-        tokens = lists[k].values
-        out.append(b"" if tokens is None or not len(tokens) else b"".join(table.take(tokens).to_pylist()))
-    return out
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    bounds, values = bounds - bounds[0], lists.values.slice(bounds[0], bounds[-1] - bounds[0])
+    if not len(values):
+        return [b""] * len(lists)
+    taken = table.take(values)
+    _, ends, data = taken.buffers()
+    at = np.frombuffer(ends, np.int32)[taken.offset :][bounds].tolist()
+    return [bytes(memoryview(data)[a:b]) for a, b in pairwise(at)]
 
 
 def decode(tokens: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
@@ -246,6 +324,6 @@ def default_vocabulary() -> tuple[str, str]:
 
 
 def tokens_of(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """`encode` by the default vocabulary, for docs that were read from a table."""
+    """`encode` by the default vocabulary."""
     vocabulary, pattern = default_vocabulary()
-    return encode(docs, vocabulary, pattern, same_twice=True)
+    return encode(docs, vocabulary, pattern)
