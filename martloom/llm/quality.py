@@ -27,7 +27,7 @@ from martloom.llm.common import text_of
 SAMPLE = 4000
 DIMENSIONS = 2048
 #: Documents whose probability of being good is below this are rejected.
-LEAST_GOOD = 0.7
+LEAST_GOOD = 0.6
 LABELLERS = 8
 _SYMBOLS = b"%#*$&~^<>{}[]\\=_+@"
 _STEPS = 16
