@@ -210,7 +210,7 @@ def _of_dimension(vectors: DataFrame, queries: DataFrame, d: int, k: int, block:
                     )
 
     kind = "query bigint, query_id bigint, vec_id bigint, score bigint"
-    first = candidates.filter("block = 0").join(asked.withColumn("block", F.lit(0)), "block")
+    first = candidates.join(asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(0)))), "block")
     best = held(first.withColumn("least", F.lit(None).cast("binary")).mapInArrow(search, kind), "first-best")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     kth = best.withColumn("n", F.row_number().over(order)).filter(F.col("n") == k)
