@@ -208,7 +208,10 @@ def repeats(
                 yield _batch(found[start : start + 5000], id_type)
 
     found = held(
-        rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(compare, _KIND.format(id=id_kind)), "found"
+        # A sample of the keys goes to the driver, so what only cuts ties is a number.
+        rows.repartitionByRange(ranges, "gram", "right", F.xxhash64("left", "doc", "pos"))
+        .sortWithinPartitions(*order)
+        .mapInArrow(compare, _KIND.format(id=id_kind)), "found"
     )
     # Two rows at each end of each range.
     edges = [tuple(r) for r in found.filter(F.col("kind").isin("head", "tail")).collect()]
