@@ -27,7 +27,7 @@ from martloom.llm.common import text_of
 SAMPLE = 4000
 DIMENSIONS = 2048
 #: Documents whose probability of being good is below this are rejected.
-LEAST_GOOD = 0.6
+LEAST_GOOD = 0.62
 LABELLERS = 8
 _SYMBOLS = b"%#*$&~^<>{}[]\\=_+@"
 _STEPS = 16
@@ -146,7 +146,7 @@ def posteriors(counts: dict[str, int], rounds: int = 100) -> dict[str, float]:
     """Probability of good of each pattern, by EM. No vote is no evidence.
 
     A bad text has one fault, not all, so most labellers find nothing wrong with it. EM begins with any bad vote as
-    bad, and a labeller's rates of bad votes have priors twice as heavy as the corpus: 0.1 % of good texts, 15 % of bad ones.
+    bad, and a labeller's rates of bad votes have priors twice as heavy as the corpus: 0.05 % of good texts, 15 % of bad ones.
     """
     patterns = sorted(counts)
     n = np.array([counts[p] for p in patterns], float)
@@ -156,7 +156,7 @@ def posteriors(counts: dict[str, int], rounds: int = 100) -> dict[str, float]:
     total = n.sum() + 1
     for _ in range(rounds):
         log = []
-        for share, rate in ((1 - good, 0.15), (good, 0.001)):
+        for share, rate in ((1 - good, 0.15), (good, 0.0005)):
             weight = n * share
             rates = (weight @ bad + 2 * rate * total) / (weight @ voted + 2 * total)
             one = np.where(bad, np.log(rates), np.log(1 - rates)) * voted
