@@ -1,0 +1,193 @@
+"""Near-duplicates by the exact Jaccard similarity of their word shingles: a prefix-filtered join, verified pairs, components.
+
+Two sets of n and m shingles with a similarity of 0.8 or more share one of the first n - ceil(0.8 n) + 1 and of the first
+m - ceil(0.8 m) + 1, whatever order all shingles are put in, so documents are compared only where such prefixes meet. No
+pair is missed and no pair is linked by chance. The order puts shingles that a sample of documents has often last: it
+decides what a passage costs that many documents have, never what is found.
+
+A shingle that many prefixes have is not paired with itself at once. In a few rounds each such list compares all its
+documents with one of them, the pivot, and pairs inside one component need no comparison any more. The pairs that are
+then left are compared one by one.
+
+Defined results: words are split at ASCII white space, after A-Z are lower-cased; a text with fewer words than a shingle
+has one shingle, its words; texts without words, or null, are alike. A shingle counts once, and is its 64-bit hash. Rows
+that repeat are rows of their component. A null doc_id is never the smallest.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from martloom.llm.common import components, held, text_of
+from martloom.llm.simhash import rows_that_stay
+
+WORDS = 5
+SEED = 42
+#: The least similarity, as a fraction of whole numbers, so that a pair of exactly this similarity is linked.
+LEAST = (4, 5)
+#: Documents that shingles are counted in, and shingles that are put last at most, for the order alone.
+SAMPLE, COMMON = 8000, 100_000
+#: Pairs for a row of the lists at which pairs are compared one by one, and rounds of pivots before that at most.
+FEW, ROUNDS = 4, 6
+
+
+def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
+    """The distinct hashes of the shingles, in order."""
+    own = text.lower().split()
+    if not own:
+        return np.zeros(0, np.uint64)
+    parts = map(b" ".join, zip(*[own[k:] for k in range(words)], strict=False)) if len(own) >= words else iter([b" ".join(own)])
+    return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), parts), np.uint64, max(1, len(own) - words + 1)))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of shingles have the least similarity."""
+    if not len(a) and not len(b):
+        return True
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return LEAST[1] * both >= LEAST[0] * (len(a) + len(b) - both)
+
+
+def prefix(own: np.ndarray, common: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """As many of the shingles, rare ones first, as a similar set must meet. common is sorted."""
+    n = len(own)
+    long = n - (LEAST[0] * n + LEAST[1] - 1) // LEAST[1] + 1 if n else 0
+    if not len(common):
+        return own[:long]
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    return own[np.lexsort((own, np.where(common[at] == own, often[at], 0)))[:long]]
+
+
+def _texts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            yield part, part.column(at).to_pylist()
+
+
+def common_shingles(docs: DataFrame, doc_id: str, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several documents of a sample have, and how many have each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _texts(batches, 0):
+            for x in texts:
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(x, words).view(np.int64))], ["shingle"])
+
+    most = min(2**63 - 1, int(min(1.0, SAMPLE / max(1, docs.count())) * 2**64) - 2**63)
+    place = F.xxhash64(F.lit("near"), F.col(doc_id), F.col(text))
+    own = docs.filter(place <= most).select(text_of(text).cast("binary").alias("text"))
+    counts = own.mapInArrow(run, "shingle bigint").groupBy("shingle").count().filter("count > 2")
+    rows = counts.orderBy(F.desc("count"), "shingle").limit(COMMON).collect()
+    found = np.array([r["shingle"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], np.array([r["count"] for r in rows], np.int64)[order]
+
+
+def shingled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """(doc_id, text_hash, fp, n, prefix, shingles) of each row; fp is the hash of the set of shingles."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, doc_id, text, words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _texts(batches, 2):
+            sets = [shingles(x, words) for x in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    part.column(1),
+                    pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([prefix(s, *common.value).view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
+                ["doc_id", "text_hash", "fp", "n", "prefix", "shingles"],
+            )
+
+    own = docs.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"), text_of(text).cast("binary").alias("text")
+    )
+    kind = dict(own.dtypes)["doc_id"]
+    return own.mapInArrow(run, f"doc_id {kind}, text_hash bigint, fp bigint, n bigint, prefix array<bigint>, shingles binary")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets have the least similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(k)] for k in (2, 3)]
+            keep = pa.array([similar(x, y) for x, y in zip(*own, strict=True)], pa.bool_())
+            yield batch.select([0, 1]).filter(keep)
+
+    pairs = held(pairs, "near-pairs")
+    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
+    own = held(sets.join(wanted, "fp").select("fp", "shingles").dropDuplicates(["fp"]), "near-sets")
+    both = pairs.join(own.select(F.col("fp").alias("a"), F.col("shingles").alias("own")), "a")
+    both = both.join(own.select(F.col("fp").alias("b"), F.col("shingles").alias("other")), "b")
+    return both.select("a", "b", "own", "other").mapInArrow(run, "a bigint, b bigint")
+
+
+def _fitting(a: str, b: str) -> F.Column:
+    """Whether sets of so many shingles can be similar."""
+    return LEAST[1] * F.least(a, b) >= LEAST[0] * F.greatest(a, b)
+
+
+def near_roots(rows: DataFrame) -> DataFrame:
+    """(node, root) for every set of `rows` that is linked to another."""
+    own = rows.select("fp", "n", F.explode("prefix").alias("shingle"))
+    shared = own.groupBy("shingle").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi")
+    lists = held(own.join(shared.select("shingle"), "shingle").distinct(), "near-lists")
+    total = lists.count()
+    links = roots = None
+    for turn in range(ROUNDS + 1):
+        known = lists.withColumn("root", F.col("fp"))
+        if roots is not None:
+            known = lists.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        known = held(known, "near-rooted")
+        of_root = known.groupBy("shingle", "root").agg(F.count(F.lit(1)).cast("double").alias("k"))
+        apart = of_root.groupBy("shingle").agg(((F.pow(F.sum("k"), 2) - F.sum(F.pow("k", F.lit(2)))) / 2).alias("pairs"))
+        apart = held(apart.filter("pairs > 0"), "near-apart")
+        left = apart.agg(F.sum("pairs")).first()[0] or 0
+        if not left and roots is not None:
+            return roots
+        open_lists = known.join(apart.select("shingle"), "shingle")
+        last = turn == ROUNDS or left <= FEW * total
+        if last:
+            x, y = (open_lists.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("fp", "n", "root")]) for k in "ab")
+            pairs = x.join(y, "shingle").filter("fp_a < fp_b")
+        else:
+            first = F.struct(F.xxhash64(F.lit(turn), F.col("fp")).alias("place"), "fp", "n", "root")
+            pivots = open_lists.groupBy("shingle").agg(F.min(first).alias("p"))
+            pivots = pivots.select("shingle", *[F.col(f"p.{c}").alias(f"{c}_a") for c in ("fp", "n", "root")])
+            y = open_lists.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("fp", "n", "root")])
+            pairs = y.join(pivots, "shingle").filter("fp_a <> fp_b")
+        pairs = pairs.filter((F.col("root_a") != F.col("root_b")) & _fitting("n_a", "n_b"))
+        pairs = pairs.select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b")).distinct()
+        found = held(verified(pairs, rows), "near-links")
+        links = found if links is None else links.union(found)
+        roots = held(components(links), "near-roots")
+        if last:
+            return roots
+
+
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """(doc_id, text_hash, fp, root, component_id), one row per row of docs."""
+    rows = held(shingled(docs, doc_id, text, words), "shingled")
+    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    rooted = held(
+        distinct.join(near_roots(rows).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")),
+        "roots",
+    )
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.select("doc_id", "text_hash", "fp").join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp")
+
+
+def keep_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """One whole row of each component: that of its smallest doc_id."""
+    return rows_that_stay(docs, near_groups(docs, doc_id, text, words), doc_id, text)

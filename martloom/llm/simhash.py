@@ -222,8 +222,12 @@ def near_groups(
 
 def keep_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, budget: int = BUDGET) -> DataFrame:
     """One whole row of each component: that of its smallest doc_id."""
+    return rows_that_stay(docs, near_groups(docs, doc_id, text, words, budget), doc_id, text)
+
+
+def rows_that_stay(docs: DataFrame, groups: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One whole row of each component of groups, (doc_id, text_hash, root)."""
     names = docs.columns
-    groups = near_groups(docs, doc_id, text, words, budget)
     # Of rows that share the smallest id, or of rows without any, the one with the smallest hash of its text.
     stays = groups.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("row")

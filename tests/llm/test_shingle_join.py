@@ -1,0 +1,70 @@
+import random
+from itertools import combinations
+
+import corpus_pipeline as pipeline
+import pytest
+
+from martloom.llm import shingle_join as m
+from tests.llm.test_simhash import roots
+
+
+def plain_shingles(text):
+    own = (text or "").lower().split()
+    return {tuple(own[k : k + 5]) for k in range(len(own) - 4)} or ({tuple(own)} if own else set())
+
+
+def wanted(texts):
+    """The smallest id of the component of each text, by the similarity of all pairs."""
+    sets = [plain_shingles(t) for t in texts]
+    linked = [
+        (a, b) for a, b in combinations(range(len(sets)), 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    ]
+    return roots(range(len(texts)), linked)
+
+
+def planted():
+    rng = random.Random(7)
+    fresh = iter(range(10**9))
+    passage = [f"p{k}" for k in range(60)]
+    texts = []
+    for k in range(60):
+        words = [f"w{next(fresh)}" for _ in range(rng.choice([6, 40, 120, 400]))] + passage * (k % 2)
+        texts.append(" ".join(words))
+        for _ in range(3 if k else 40):
+            other = list(words)
+            for _ in range(rng.choice([1, 2, 4]) if len(words) > 30 else rng.choice([0, 1])):
+                other[rng.randrange(len(other))] = f"w{next(fresh)}"
+            texts.append(" ".join(other))
+    return texts
+
+
+def test_stage_matches_brute_force_on_planted_copies(spark, documents):
+    texts = planted()
+    want = wanted(texts)
+    kept = {r.doc_id for r in pipeline.apart(spark, documents(texts), "").collect()}
+    assert kept == set(want.values())
+    assert len(kept) < len(texts) - 40
+
+
+@pytest.mark.parametrize(("few", "rounds"), [(0, 3), (10**9, 0)])
+def test_pivots_find_what_all_pairs_do(documents, monkeypatch, few, rounds):
+    monkeypatch.setattr(m, "FEW", few)
+    monkeypatch.setattr(m, "ROUNDS", rounds)
+    texts = planted()
+    got = {r.doc_id: r.component_id for r in m.near_groups(documents(texts)).collect()}
+    assert got == wanted(texts)
+
+
+def test_exact_limit_is_linked():
+    a, b = (m.shingles(" ".join(x).encode()) for x in (list("abcdefghijklm"), list("abcdefghijkl")))
+    assert (len(a), len(b)) == (9, 8)
+    assert m.similar(a[:5], a[:4])
+    assert not m.similar(a[:9], a[:7])
+
+
+def test_odd_rows_and_empty_table(odd):
+    assert m.near_groups(odd).count() == odd.count()
+    kept = m.keep_rows(odd)
+    assert kept.columns == odd.columns
+    assert kept.count() == len({r.root for r in m.near_groups(odd).collect()})
+    assert m.keep_rows(odd.limit(0)).count() == 0
