@@ -6,12 +6,14 @@ deadline. Earliest deadline first among released blocks meets all deadlines, so
 has had its share of them to within less than one block.
 
 Shares are whole numbers of `resolution` slots, so the schedule repeats after that many slots: one round of it is worked
-out, and the slot of any block follows from its number. A table of one round, of `resolution` rows, is all that is
-broadcast. Positions inside a source come from sums per bucket of the hash, so that no source is put in order in one task.
+out, and the slot of any block follows from its number. At the first slot whose source has no more blocks, the schedule
+begins anew with the sources that are left, each with its share of their weights, until all blocks have a slot. Tables of
+one round of each such phase, of no more rows than `resolution` and than the phase has slots, are broadcast. Positions inside a source come from sums per bucket of the hash, so that no source is put in order in one task.
 
 Defined results: a null source is a source of its own. Without weights, a source weighs its characters to the power
-`DAMPING`. A source without a positive weight has no slots, and its documents are not in the mix. The mix ends at the first
-slot whose source has no more blocks; documents of later slots are returned with in_mix false. Null and empty texts have
+`DAMPING`. A source without a positive weight has no slots, and its documents are not in the mix. Where weights are given,
+the mix ends with its first phase unless the caller asks for all of it, as later phases can't have those weights;
+documents of later slots are returned with in_mix false. Without weights all documents are in the mix. Null and empty texts have
 no characters and come at their place. A document belongs to the block that it begins in. Ids may be null or repeat.
 """
 
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import Counter
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,8 +50,8 @@ def whole_shares(weights: dict[str, float], resolution: int) -> dict[str, int]:
     return shares
 
 
-def one_round(shares: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, slot, release, deadline) of each slot of a round."""
+def one_round(shares: dict[str, int], blocks: dict[str, int] | None = None) -> list[tuple[str, int, int, int, int]]:
+    """(source, block, slot, release, deadline) of each slot of a round, or of those before a source runs out of blocks."""
     slots = sum(shares.values())
     waiting = [(0, k, 0) for k in sorted(shares)]
     ready: list[tuple[int, str, int]] = []
@@ -59,12 +62,40 @@ def one_round(shares: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
             _, k, j = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(j + 1) * slots // shares[k]), k, j))
         deadline, k, j = heapq.heappop(ready)
+        if blocks is not None and j == blocks[k]:
+            break
         out.append((k, j, slot, j * slots // shares[k], deadline))
         if j + 1 < shares[k]:
             heapq.heappush(waiting, ((j + 1) * slots // shares[k], k, j + 1))
     return out
 
 
+def phases(blocks: dict[str, int], weights: dict[str, float], resolution: int) -> tuple[list[tuple], list[tuple]]:
+    """The schedule of all blocks of sources with a positive weight.
+
+    (source, phase, start, stop, offset, share, slots) of the blocks that a source has in a phase, and
+    (source, phase, step, first, release, deadline) of the slots of one round of it.
+    """
+    left, done = dict(blocks), dict.fromkeys(blocks, 0)
+    parts, rounds, offset, phase = [], [], 0, 0
+    while shares := whole_shares({k: weights[k] for k, n in left.items() if n}, max(resolution, 10 * len(left))):
+        table, slots = one_round(shares, left), sum(shares.values())
+        end = len(table)
+        if end == slots:
+            slot_of = {(k, j): slot for k, j, slot, _, _ in table}
+            # The slot of the first block that a source no longer has.
+            end = min(left[k] // w * slots + slot_of[k, left[k] % w] for k, w in shares.items())
+        own = Counter(k for k, _, slot, _, _ in table if slot < end % slots)
+        for k, w in shares.items():
+            n = end // slots * w + own[k]
+            if n:
+                parts.append((k, phase, done[k], done[k] + n, offset, w, slots))
+                done[k], left[k] = done[k] + n, left[k] - n
+        rounds += [(k, phase, *x) for k, *x in table]
+        offset, phase = offset + end, phase + 1
+    return parts, rounds
+
+
 def placed(
     docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
@@ -101,8 +132,12 @@ def mixed(
     text: str = "text",
     block_chars: int = BLOCK_CHARS,
     resolution: int = RESOLUTION,
+    whole: bool | None = None,
 ) -> DataFrame:
-    """(doc_id, text_hash, source, place, block, slot, release, deadline, in_mix) of each row of docs."""
+    """(doc_id, text_hash, source, place, block, slot, release, deadline, in_mix) of each row of docs.
+
+    whole: whether the mix goes on after its first phase; if None, it does unless weights are given.
+    """
     rows = held(placed(docs, doc_id, source, text, block_chars), "blocks")
     # One row a source; a mix has far fewer sources than slots.
     blocks = {r["source"]: r["n"] for r in rows.groupBy("source").agg((F.max("block") + 1).alias("n")).collect()}
@@ -111,35 +146,37 @@ def mixed(
     else:
         named = {"" if k is None else f"={k}": w for k, w in weights.items()}
         own = {k: named.get(k, 0) for k in blocks}
-    shares = whole_shares(own, max(resolution, 10 * len(own)))
-    slots = sum(shares.values())
-    table = one_round(shares)
-    slot_of = {(k, j): slot for k, j, slot, _, _ in table}
-    # The slot of the first block that a source no longer has.
-    ends = [blocks[k] // w * slots + slot_of[k, blocks[k] % w] for k, w in shares.items()]
-    end = min(ends, default=0)
+    if weights is None if whole is None else whole:
+        parts, table = phases(blocks, own, resolution)
+        end = 2**63 - 1
+    else:
+        shares = whole_shares(own, max(resolution, 10 * len(own)))
+        slots = sum(shares.values())
+        table = one_round(shares)
+        slot_of = {(k, j): slot for k, j, slot, _, _ in table}
+        # The slot of the first block that a source no longer has.
+        end = min((blocks[k] // w * slots + slot_of[k, blocks[k] % w] for k, w in shares.items()), default=0)
+        parts = [(k, 0, 0, 2**63 - 1, 0, w, slots) for k, w in shares.items()]
+        table = [(k, 0, *x) for k, *x in table]
     one = rows.sparkSession.createDataFrame(
-        [(k, shares[k], *x) for k, *x in table],
-        "source string, share bigint, step bigint, first bigint, release bigint, deadline bigint",
+        table, "source string, phase bigint, step bigint, first bigint, release bigint, deadline bigint"
+    )
+    of_source = rows.sparkSession.createDataFrame(
+        parts, "of string, phase bigint, start bigint, stop bigint, offset bigint, share bigint, slots bigint"
     )
-    of_source = rows.sparkSession.createDataFrame(list(shares.items()), "source string, share bigint")
-    stepped = rows.join(F.broadcast(of_source), "source", "left").withColumn("step", F.col("block") % F.col("share"))
-    rounds = (F.floor(F.col("block") / F.col("share")) * slots).cast("bigint")
-    return (
-        stepped.drop("share")
-        .join(F.broadcast(one.drop("share")), ["source", "step"], "left")
-        .join(F.broadcast(of_source), "source", "left")
-        .select(
-            "doc_id",
-            "text_hash",
-            F.when(F.col("source") != "", F.substring("source", 2, 2**31 - 1)).alias("source"),
-            "place",
-            "block",
-            (rounds + F.col("first")).alias("slot"),
-            (rounds + F.col("release")).alias("release"),
-            (rounds + F.col("deadline")).alias("deadline"),
-            F.coalesce(rounds + F.col("first") < end, F.lit(False)).alias("in_mix"),
-        )
+    here = (F.col("source") == F.col("of")) & (F.col("block") >= F.col("start")) & (F.col("block") < F.col("stop"))
+    stepped = rows.join(F.broadcast(of_source), here, "left").withColumn("step", (F.col("block") - F.col("start")) % F.col("share"))
+    rounds = (F.col("offset") + F.floor((F.col("block") - F.col("start")) / F.col("share")) * F.col("slots")).cast("bigint")
+    return stepped.join(F.broadcast(one), ["source", "phase", "step"], "left").select(
+        "doc_id",
+        "text_hash",
+        F.when(F.col("source") != "", F.substring("source", 2, 2**31 - 1)).alias("source"),
+        "place",
+        "block",
+        (rounds + F.col("first")).alias("slot"),
+        (rounds + F.col("release")).alias("release"),
+        (rounds + F.col("deadline")).alias("deadline"),
+        F.coalesce(rounds + F.col("first") < end, F.lit(False)).alias("in_mix"),
     )
 
 
@@ -149,10 +186,11 @@ def keep_rows(
     doc_id: str = "doc_id",
     source: str = "source",
     text: str = "text",
+    whole: bool | None = None,
 ) -> DataFrame:
     """The whole rows of the mix, in the order of their slots."""
     names = docs.columns
-    rows = mixed(docs, weights, doc_id, source, text).filter("in_mix")
+    rows = mixed(docs, weights, doc_id, source, text, whole=whole).filter("in_mix")
     # Rows that repeat have one place; they are counted, so that none is joined twice.
     places = rows.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text_hash").agg(
         F.min("slot").alias("slot"), F.min("place").alias("place")

@@ -62,3 +62,33 @@ def test_odd_rows(odd, weights):
     assert kept.columns == odd.columns
     assert kept.count() == out.filter("in_mix").count()
     assert m.keep_rows(odd.limit(0), weights).count() == 0
+
+
+def test_mix_goes_on_without_a_source_that_runs_out(spark):
+    sizes = {"a": 300, "b": 40, None: 1}
+    rows = [(k, s, "x" * 50) for k, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = m.mixed(df, block_chars=50, resolution=10).collect()
+    assert all(r.in_mix for r in out)
+    assert sorted(r.slot for r in out) == list(range(341))
+    assert all(r.release <= r.slot < r.deadline for r in out)
+    assert m.keep_rows(df).count() == 341
+    given = m.mixed(df, {"a": 1, "b": 1}, block_chars=50, resolution=10, whole=True).collect()
+    assert Counter(r.source for r in given if r.in_mix) == {"a": 300, "b": 40}
+    assert abs(sum(r.source == "b" for r in given if r.slot is not None and r.slot < 60) - 30) <= 1
+
+
+@given(st.dictionaries(st.text(max_size=2), st.tuples(st.integers(1, 90), st.floats(0.01, 50)), min_size=1, max_size=8))
+@settings(max_examples=60, deadline=None)
+def test_phases_give_each_block_one_slot(sources):
+    blocks, weights = ({k: v[i] for k, v in sources.items()} for i in (0, 1))
+    parts, rounds = m.phases(blocks, weights, 20)
+    step_of = {(k, p, j): slot for k, p, j, slot, _, _ in rounds}
+    slots = {}
+    for k, p, start, stop, offset, share, length in parts:
+        for j in range(start, stop):
+            slots[k, j] = offset + (j - start) // share * length + step_of[k, p, (j - start) % share]
+    assert set(slots) == {(k, j) for k, n in blocks.items() for j in range(n)}
+    assert sorted(slots.values()) == list(range(len(slots)))
+    for k, n in blocks.items():
+        assert [slots[k, j] for j in range(n)] == sorted(slots[k, j] for j in range(n))
