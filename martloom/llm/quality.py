@@ -31,6 +31,8 @@ LEAST_GOOD = 0.62
 LABELLERS = 8
 _SYMBOLS = b"%#*$&~^<>{}[]\\=_+@"
 _STEPS = 16
+#: Words of a window that distinct words are counted in, and of the shortest last one whose share can be the least.
+_WINDOW, _REST = 2000, 40
 _FEW = 16
 
 
@@ -49,11 +51,13 @@ _CLASS = _classes()
 
 @dataclass(frozen=True)
 class Shape:
-    """What labellers and features look at; shares are of bytes, words or lines."""
+    """What labellers and features look at; shares are of bytes, words or lines. varied and least_varied are the mean,
+    weighted by words, and the minimum of the shares of distinct words in consecutive windows of the whole text."""
 
     words: int
     repeated: float
     varied: float
+    least_varied: float
     symbols: float
     capitals: float
     bars: float
@@ -67,11 +71,14 @@ def _shape(data: bytes, counts: np.ndarray) -> Shape:
     n = max(1, len(words))
     lines = [x for x in data.split(b"\n") if x.strip()]
     letters = max(1, int(counts[0] + counts[1]))
+    windows = [(min(_WINDOW, n - k), len(set(words[k : k + _WINDOW])) / min(_WINDOW, n - k)) for k in range(0, n, _WINDOW)]
     ends = sum(data.count(x) for x in (b". ", b".\n", b"? ", b"! ", b"!\n")) + data.endswith((b".", b"!", b"?"))
     return Shape(
         words=len(words),
         repeated=sum(map(eq, words, words[1:])) / n,
-        varied=len(set(words[:2000])) / min(n, 2000),
+        varied=sum(k * share for k, share in windows) / n,
+        # A short rest at the end says little.
+        least_varied=min(share for k, share in windows if k >= min(n, _REST)),
         symbols=float(counts[8]) / max(1, len(data)),
         capitals=float(counts[1]) / letters,
         bars=float(counts[7]) / n,
@@ -89,10 +96,13 @@ def votes(s: Shape) -> str:
 
     if not s.words:
         return "-" * LABELLERS
+    varied = vote(1 - s.varied, 0.55, 0.8)
+    if varied == "g" and 1 - s.least_varied >= 0.8:
+        varied = "-"
     return "".join(
         (
             vote(s.repeated, 0.05, 0.2),
-            "-" if s.words < 40 else vote(1 - s.varied, 0.55, 0.8),
+            "-" if s.words < 40 else varied,
             vote(s.symbols, 0.01, 0.04),
             "-" if s.words < 10 else vote(s.capitals, 0.1, 0.35),
             vote(s.bars, 0.02, 0.15),
@@ -114,8 +124,9 @@ def features(data: bytes) -> tuple[np.ndarray, Shape]:
         runs = (runs * np.uint32(2654435761)) >> np.uint32(32 - half.bit_length() + 1)
         x[:half] = np.sqrt(np.bincount(runs, minlength=half)[:half] / len(runs))
     if s.words:
-        for k, value in enumerate((s.repeated, s.varied, s.same_lines)):
-            x[half + (k * 7919 + int(value * (_STEPS - 1)) * 104729) % half] += 1
+        # A text of one window has its variety as mean and as minimum.
+        for k, value, part in ((0, s.repeated, 1), (1, s.varied, 0.5), (1, s.least_varied, 0.5), (2, s.same_lines, 1)):
+            x[half + (k * 7919 + int(value * (_STEPS - 1)) * 104729) % half] += part
     return x, s
 
 

@@ -38,3 +38,18 @@ def test_empty_table(odd):
     assert m.judged(odd.limit(0)).count() == 0
     assert m.keep_rows(odd.limit(0)).count() == 0
     assert m.posteriors({}) == {}
+
+
+def test_variety_is_that_of_the_whole_text():
+    sound = [" ".join(f"word{j % 900}" for j in range(k, k + 2000)) for k in range(0, 18_000, 2000)]
+    loop = " ".join(["the same few words come again and again"] * 250)
+    loops_later = m.features(" ".join([sound[0], *[loop] * 9]).encode())[1]
+    loops_first = m.features(" ".join([loop, *sound]).encode())[1]
+    one_window = m.features(" ".join([*sound, loop]).encode())[1]
+    assert m.votes(loops_later)[1] == "b"
+    assert m.votes(loops_first)[1] != "b"
+    assert loops_first.varied == one_window.varied and loops_first.least_varied == one_window.least_varied < 0.01
+    assert m.votes(one_window)[1] == "-"
+    x, y = (m.features(" ".join(parts).encode())[0] for parts in (sound, [*sound, loop]))
+    assert (x[m.DIMENSIONS // 2 :] != y[m.DIMENSIONS // 2 :]).any()
+    assert m.features(b"a b c " * 700)[1].varied == 3 / 2000 * 2000 / 2100 + 3 / 100 * 100 / 2100
