@@ -9,6 +9,7 @@ from martloom.llm import (
     exact_dedup,
     license_scan,
     mixing,
+    phrases,
     quality,
     simhash,
     suffix_dedup,
@@ -189,3 +190,53 @@ def op6_license_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = license_scan.scan(docs, license_scan.train(docs))
     return found.select("doc_id", "paragraph", "family", "probability", "shared", "confirmed")
+
+
+@register(
+    "op11_phrases",
+    """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[.,;:!?\n\x0B\x0C\r]')) AS piece
+        FROM documents
+    ), cut AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS w FROM pieces
+    ), grams AS (
+        SELECT lang, k, unnest([array_to_string(w[i : i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+        FROM cut, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+    ), counted AS (
+        SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase
+    ), known AS (
+        SELECT * FROM counted WHERE f >= 30
+    ), totals AS (
+        SELECT lang, sum(f) AS n FROM counted WHERE k = 1 GROUP BY lang
+    ), cuts AS (
+        SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM known WHERE k > 1
+    ), scored AS (
+        SELECT c.lang, c.k, c.phrase, c.a, x.f AS l, y.f AS r, c.j,
+               CAST(2000000 * CAST(c.a AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+        FROM cuts c
+        JOIN known x ON c.lang = x.lang AND array_to_string(c.w[1 : c.j], ' ') = x.phrase
+        JOIN known y ON c.lang = y.lang AND array_to_string(c.w[c.j + 1 : c.k], ' ') = y.phrase
+    ), worst AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+    ), spans AS (
+        SELECT lang, phrase AS outer_phrase, a, k, w, unnest(range(2, k)) AS m
+        FROM (SELECT DISTINCT lang, phrase, a, k, w FROM cuts) WHERE k > 2
+    ), inside AS (
+        SELECT lang, a, unnest([array_to_string(w[i : i + m - 1], ' ') FOR i IN range(1, k - m + 2)]) AS phrase FROM spans
+    ), covered AS (
+        SELECT lang, phrase, max(a) AS longer FROM inside GROUP BY lang, phrase
+    ), kept AS (
+        SELECT s.* FROM worst s LEFT JOIN covered o ON s.lang = o.lang AND s.phrase = o.phrase
+        WHERE o.longer IS NULL OR 100 * o.longer < 80 * s.a
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+    )
+    SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, CAST(t.n AS BIGINT) AS n, r.score
+    FROM ranked r JOIN totals t ON r.lang = t.lang WHERE r.rank <= 2000
+    """,
+)
+def op11_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
