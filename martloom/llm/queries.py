@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from martloom.llm import (
     byte_bpe,
     exact_dedup,
+    jaccard_join,
     license_scan,
     mixing,
     phrases,
     quality,
+    resample,
     simhash,
     suffix_dedup,
     top_k,
@@ -240,3 +242,45 @@ def op6_license_scan(spark, sf_dir):
 )
 def op11_phrases(spark, sf_dir):
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op12_resample")
+def op12_resample(spark, sf_dir):
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register(
+    "op13_jaccard_join",
+    """
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                       ELSE [array_to_string(w[i : i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS s
+        FROM worded
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+    ), links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * both >= 85 * (x.n + y.n - both)
+    ), edges AS (
+        SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+    ), reached AS (
+        SELECT doc_id AS root, doc_id FROM documents
+        UNION
+        SELECT r.root, e.b FROM reached r JOIN edges e ON e.a = r.doc_id WHERE e.b > r.root
+    )
+    SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+    FROM documents d
+    JOIN (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id) c ON d.doc_id = c.doc_id
+    LEFT JOIN sizes s ON d.doc_id = s.doc_id
+    """,
+)
+def op13_jaccard_join(spark, sf_dir):
+    rows = jaccard_join.groups(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id")
