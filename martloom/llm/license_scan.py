@@ -6,15 +6,18 @@ as class `unknown`. Its probabilities are calibrated by a temperature, chosen on
 fit. A paragraph is of a family if that family's calibrated probability is high enough, else unknown; a family is
 confirmed if the paragraph has most word pairs of one of its notices.
 
-Scoring is expressions over a paragraph. A paragraph without any of a few words, of which every notice has one, cannot be
-confirmed, so texts without them are left out before they are cut.
-
-A paragraph is a line, or neighbouring lines that are confirmed on their joined words, as a wrapped notice is: at most
-`LINES` of them, and none without a letter or digit. Of confirmed paragraphs that overlap, the one with the largest share
-of a notice stays, then the one of fewest lines, then the first; lines inside it are no findings of their own.
-
-Defined results: a paragraph's number is that of its first line. Null and empty texts have none. Findings are one row a paragraph, so rows that
-repeat give findings that repeat; a null doc_id is carried along. Without documents the classifier knows the notices alone.
+The penalty of the fit makes most weights zero, and only the others are looked up. The model is one row, as large as the
+notices, that every paragraph meets in a broadcast join, so a paragraph is scored where it is read.
+
+A paragraph is a line, or neighbouring lines that are confirmed together, as a wrapped notice is. Such lines are found by
+the notices' pairs, of which each has one, also across its end, and none is without a letter or digit. There are at most
+as many of them as the notice has words. Of those that overlap the one with the larger share of a notice stays, then the
+one of fewer lines, then the first. Lines that include one with a whole notice are no finding, nor is a line inside them.
+Only texts with a word that most of a notice cannot do without are searched for them.
+
+Defined results: a paragraph's number is that of its first line. Null and empty texts have none. Findings are one row a
+paragraph, so rows that repeat give findings that repeat; a null doc_id is carried along. Without documents the classifier
+knows the notices alone.
 """
 
 from __future__ import annotations
@@ -22,10 +25,10 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import text_of
+from martloom.llm.common import held, text_of
 
 #: Public licence notices by family.
 NOTICES = {
@@ -95,10 +98,10 @@ UNKNOWN = "unknown"
 #: Paragraphs of the corpus that class `unknown` learns from at most.
 PARAGRAPHS = 500
 LEAST_PROBABILITY = 0.6
+#: The penalty on absolute weights.
+SPARSE = 1e-3
 #: Share of a notice's word pairs that a paragraph of its family has, to be confirmed.
 LEAST_SHARED = 0.75
-#: Lines of a paragraph at most; the longest notice has as many at 40 columns.
-LINES = 8
 _TOKEN = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
 
@@ -122,18 +125,20 @@ def _examples() -> list[tuple[str, str]]:
     return out
 
 
-def _fit(x: np.ndarray, y: np.ndarray, classes: int, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
-    """Multinomial logistic regression by gradient steps, classes weighing alike."""
+def _fit(x: np.ndarray, y: np.ndarray, classes: int, rounds: int = 500, sparse: float = SPARSE) -> tuple[np.ndarray, np.ndarray]:
+    """Multinomial logistic regression by gradient steps, classes weighing alike; a penalty on absolute weights leaves
+    most of them zero."""
     w, bias = np.zeros((x.shape[1], classes)), np.zeros(classes)
     truth = np.eye(classes)[y]
     weight = 1 / np.maximum(1, np.bincount(y, minlength=classes))[y]
     weight /= weight.sum()
-    step = 2 / max(1.0, float((x**2).sum(axis=1).mean()))
+    step = 2 / max(1.0, float((x**2).sum(axis=1).mean())) * classes
     for _ in range(rounds):
         z = x @ w + bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
         gap = (p / p.sum(axis=1, keepdims=True) - truth) * weight[:, None]
-        w, bias = w - step * classes * (x.T @ gap + 1e-5 * w), bias - step * classes * gap.sum(axis=0)
+        w, bias = w - step * (x.T @ gap), bias - step * gap.sum(axis=0)
+        w = np.sign(w) * np.maximum(np.abs(w) - step * sparse, 0)
     return w, bias
 
 
@@ -150,13 +155,13 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", paragraphs: int = PARAGRAPHS) -> dict:
     """The classifier: families, vocabulary, weights, bias, temperature."""
-    # One paragraph of each of the documents with the smallest hashes, cut to a length, and none with a notice's word.
-    line = F.substring(F.element_at(F.split("text", "\n"), 1), 1, 400)
+    # One paragraph, whole, of each of the documents with the smallest hashes, and none with a notice's word.
     place = F.xxhash64(F.lit("licence"), F.col(doc_id), F.col(text))
     # A threshold leaves about four times the number, so that few lines go to the driver whatever the corpus.
     most = min(2**63 - 1, int(min(1.0, 4 * paragraphs / max(1, docs.count())) * 2**64) - 2**63)
-    rows = docs.select(place.alias("place"), text_of(text).alias("text")).filter(F.col("place") <= most)
-    rows = rows.select("place", line.alias("line")).filter(~_has(F.lower("line"), anchors()))
+    rows = docs.select(place.alias("place"), F.split(text_of(text), "\n").alias("lines")).filter(F.col("place") <= most)
+    rows = rows.select("place", F.element_at("lines", (F.pmod("place", F.size("lines")) + 1).cast("int")).alias("line"))
+    rows = rows.filter(~_has(F.lower("line"), anchors()))
     own = [r["line"] for r in rows.orderBy("place", "line").limit(paragraphs).collect()]
     families = [*NOTICES, UNKNOWN]
     examples = [*_examples(), *((UNKNOWN, x) for x in (*OTHER, "", *own))]
@@ -172,7 +177,14 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", paragraph
     w, bias = _fit(x[~apart], y[~apart], len(families))
     temperature = _temperature(x[apart] @ w + bias, y[apart])
     w, bias = _fit(x, y, len(families))
-    return {"families": families, "vocabulary": vocabulary, "weights": w.round(6), "bias": bias.round(6), "temperature": temperature}
+    used = np.flatnonzero(np.abs(w).max(axis=1))
+    return {
+        "families": families,
+        "vocabulary": [vocabulary[k] for k in used],
+        "weights": w[used].round(6),
+        "bias": bias.round(6),
+        "temperature": temperature,
+    }
 
 
 def anchors() -> list[str]:
@@ -194,8 +206,22 @@ def _has(lower: Column, words: list[str]) -> Column:
     return found
 
 
-def _array(values, kind: str) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+def needed_words() -> list[str]:
+    """Words of which every text has one that has the share LEAST_SHARED of a notice's pairs.
+
+    Of each notice, the longest words that together touch more of its pairs than may be absent.
+    """
+    out = set()
+    for notices in NOTICES.values():
+        for notice in notices:
+            pairs = set(_pairs(_words(notice)))
+            own: set[str] = set()
+            for word in sorted(set(_words(notice)), key=lambda w: (-len(w), w)):
+                if sum(not own & set(p.split(" ")) for p in pairs) < LEAST_SHARED * len(pairs):
+                    break
+                own.add(word)
+            out |= own
+    return sorted(w for w in out if not any(v != w and v in w for v in out))
 
 
 def _words_of(lower: Column) -> Column:
@@ -207,30 +233,94 @@ def _pairs_of(words: Column) -> Column:
     return F.zip_with(F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def _apart(rows: DataFrame) -> DataFrame:
-    """Of findings of a text that overlap, the best; copies of a text keep theirs each."""
-    entry = ["paragraph", "size", "family", "probability", "shared", "confirmed", "line"]
-    counted = rows.groupBy("doc_id", "text_hash", *entry).agg(F.count(F.lit(1)).cast("int").alias("copies"))
-    # Lines joined with one that has a whole notice are no better than it, and are left out at once.
-    near = Window.partitionBy("doc_id", "text_hash").orderBy("paragraph").rangeBetween(0, LINES - 1)
-    whole = F.min(F.when((F.col("size") == 1) & F.col("confirmed") & (F.col("shared") == 1), F.col("paragraph"))).over(near)
-    counted = counted.withColumn("whole", whole)
-    counted = counted.filter((F.col("size") == 1) | F.col("whole").isNull() | (F.col("whole") >= F.col("paragraph") + F.col("size")))
-    best = F.struct((~F.col("confirmed")).alias("last"), (-F.col("shared")).alias("less"), "size", "paragraph", "family", "probability", "shared", "confirmed", "line", "copies")
-    found = counted.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(best)).alias("found"))
-    kept = F.aggregate(
-        "found",
-        F.slice("found", 1, 0),
-        lambda own, x: F.when(
-            F.exists(
-                own,
-                lambda y: (y["paragraph"] < x["paragraph"] + x["size"]) & (x["paragraph"] < y["paragraph"] + y["size"]),
-            ),
-            own,
-        ).otherwise(F.concat(own, F.array(x))),
-    )
-    one = found.select("doc_id", F.explode(kept).alias("x")).select("doc_id", "x.*")
-    return one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+def _notice_pairs(spark: SparkSession) -> DataFrame:
+    """(pair, family, notice, of, most_lines): the distinct pairs of each notice, how many there are, and its words."""
+    rows, n = [], 0
+    for family, notices in NOTICES.items():
+        for notice in notices:
+            words = _words(notice)
+            pairs = sorted(set(_pairs(words)))
+            rows += [(pair, family, n, len(pairs), len(words)) for pair in pairs]
+            n += 1
+    return F.broadcast(spark.createDataFrame(rows, "pair string, family string, notice int, of int, most_lines int"))
+
+
+def _model_row(spark: SparkSession, model: dict) -> DataFrame:
+    rows = [
+        (
+            0,
+            model["families"],
+            model["vocabulary"],
+            {g: list(map(float, own)) for g, own in zip(model["vocabulary"], model["weights"], strict=True)},
+            list(map(float, model["bias"])),
+            {f: [sorted(set(_pairs(_words(n)))) for n in own] for f, own in NOTICES.items()},
+        )
+    ]
+    fields = "one int, families array<string>, vocabulary array<string>, weights map<string, array<double>>, bias array<double>"
+    return F.broadcast(spark.createDataFrame(rows, fields + ", notices map<string, array<array<string>>>"))
+
+
+def _classified(paragraphs: DataFrame, model: dict) -> DataFrame:
+    """The paragraphs, of column `line`, that are of a known family, with family, probability and shared."""
+    rows = paragraphs.withColumn("one", F.lit(0)).join(_model_row(paragraphs.sparkSession, model), "one")
+    rows = rows.withColumn("words", _words_of(F.lower("line"))).withColumn("pairs", _pairs_of(F.col("words")))
+    rows = rows.withColumn("grams", F.array_intersect(F.array_union("words", "pairs"), "vocabulary"))
+    add = lambda total, g: F.zip_with(total, F.element_at("weights", g), lambda a, b: a + b)
+    rows = rows.withColumn("logits", F.aggregate("grams", F.col("bias"), add)).withColumn("most", F.array_max("logits"))
+    parts = F.aggregate("logits", F.lit(0.0), lambda total, z: total + F.exp((z - F.col("most")) / model["temperature"]))
+    family = F.element_at("families", F.array_position("logits", F.col("most")).cast("int"))
+    rows = rows.withColumns({"probability": 1 / parts, "family": family})
+    rows = rows.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST_PROBABILITY))
+    share = lambda n: F.size(F.array_intersect("pairs", n)) / F.size(n)
+    shared = F.array_max(F.transform(F.element_at("notices", F.col("family")), share))
+    return rows.select(*paragraphs.columns, "family", "probability", shared.alias("shared"))
+
+
+def _wrapped(texts: DataFrame) -> DataFrame:
+    """(row, paragraph, size): neighbouring lines of the texts (row, lines) that together have enough of a notice."""
+    lines = texts.select("row", F.posexplode("lines").alias("at", "line")).withColumn("words", _words_of(F.lower("line")))
+    lines = lines.filter(F.size("words") > 0)
+    in_text = Window.partitionBy("row").orderBy("at")
+    lines = lines.withColumns({"next_at": F.lead("at").over(in_text), "next_words": F.lead("words").over(in_text)})
+    follows = F.col("next_at") == F.col("at") + 1
+    across = F.when(follows, F.concat_ws(" ", F.element_at("words", -1), F.element_at("next_words", 1)))
+    # A pair stands on its first word's line and needs the line of its second.
+    pair = lambda p, end: F.struct(p.alias("pair"), end.alias("end"))
+    inside = F.transform(F.array_distinct(_pairs_of(F.col("words"))), lambda p: pair(p, F.col("at")))
+    found = lines.select("row", "at", F.explode(F.concat(inside, F.array(pair(across, F.col("at") + 1)))).alias("p")).select("row", "at", "p.*")
+    found = held(found.join(_notice_pairs(texts.sparkSession), "pair").drop("family"), "notice-pairs")
+    one = ["row", "notice"]
+    enough = F.col("n") >= LEAST_SHARED * F.col("of")
+    complete = found.groupBy(*one, "of").agg(F.count_distinct("pair").alias("n")).filter(enough).select(*one)
+    found = found.join(complete, one)
+    # Neighbouring lines that each begin or end one of the notice's pairs.
+    touched = found.select(*one, F.explode(F.array("at", "end")).alias("at")).distinct()
+    order = Window.partitionBy(*one).orderBy("at")
+    touched = touched.withColumn("island", F.col("at") - F.row_number().over(order))
+    starts = touched.select(*one, "island", F.col("at").alias("start"))
+    own = found.join(touched, [*one, "at"])
+    reach = (F.col("at") >= F.col("start")) & (F.col("end") < F.col("start") + F.col("most_lines"))
+    # Each pair's nearest end after a start; the last of them is where the lines have all that they can have.
+    ends = own.join(starts, [*one, "island"]).filter(reach).groupBy(*one, "of", "start", "pair").agg(F.min("end").alias("end"))
+    spans = ends.groupBy(*one, "of", "start").agg(F.count(F.lit(1)).alias("n"), F.max("end").alias("end"))
+    spans = spans.filter(enough & (F.col("end") > F.col("start")))
+    return spans.select("row", F.col("start").alias("paragraph"), (F.col("end") - F.col("start") + 1).alias("size")).distinct()
+
+
+def _apart(wrapped: DataFrame) -> DataFrame:
+    """Of wrapped findings of a text that overlap, the best; in the order of their starts, each against the one before."""
+    entry = F.struct("paragraph", "size", "family", "probability", "shared")
+    found = wrapped.groupBy("row").agg(F.sort_array(F.collect_list(entry)).alias("found"))
+    last = lambda own: F.element_at(own, -1)
+
+    def step(own: Column, x: Column) -> Column:
+        clear = (F.size(own) == 0) | (last(own)["paragraph"] + last(own)["size"] <= x["paragraph"])
+        better = (x["shared"] > last(own)["shared"]) | ((x["shared"] == last(own)["shared"]) & (x["size"] < last(own)["size"]))
+        instead = F.concat(F.slice(own, F.lit(1), F.size(own) - 1), F.array(x))
+        return F.when(clear, F.concat(own, F.array(x))).when(better, instead).otherwise(own)
+
+    kept = F.aggregate("found", F.slice("found", 1, 0), step)
+    return found.select("row", F.explode(kept).alias("x")).select("row", "x.*")
 
 
 def scan(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,68 +328,32 @@ def scan(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text
 
     paragraph counts from 0; shared is the largest share of a notice's word pairs that the paragraph has.
     """
-    known = anchors()
-    families, temperature = model["families"], model["temperature"]
-    # Of each line, it and the lines after it up to one that is blank.
-    starts = F.transform("lines", lambda _, k: F.slice("lines", k + 1, LINES))
-    blank = F.array_position(F.transform("block", lambda x: ~F.rlike(F.lower(x), F.lit("[a-z0-9]"))), True)
-    blocks = (
-        docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-        .filter(_has(F.lower("text"), known))
-        .select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
-        .select("doc_id", "text_hash", F.posexplode(starts).alias("paragraph", "block"))
-        .withColumn("block", F.when(blank > 0, F.slice("block", 1, (blank - 1).cast("int"))).otherwise(F.col("block")))
-        .withColumn("joined", F.lower(F.array_join("block", "\n")))
-        .filter((F.size("block") > 0) & _has(F.col("joined"), known))
-    )
-    # Joined lines can only be confirmed if the whole block has enough of a notice.
-    notices = [sorted(set(_pairs(_words(n)))) for own in NOTICES.values() for n in own]
-    of_notices = F.array_intersect(_pairs_of(_words_of(F.col("joined"))), _array(sorted({g for n in notices for g in n}), "string"))
-    blocks = blocks.withColumn("of_notices", F.when(F.size("block") > 1, of_notices))
-    most = F.greatest(*[F.size(F.array_intersect("of_notices", _array(n, "string"))) / float(len(n)) for n in notices])
-    sizes = F.when(F.size("block") == 1, F.lit(1)).when(most >= LEAST_SHARED, F.size("block")).otherwise(1)
-    lines = (
-        blocks.withColumn("size", F.explode(F.sequence(F.lit(1), sizes)))
-        .select("doc_id", "text_hash", "paragraph", "size", F.array_join(F.slice("block", F.lit(1), F.col("size")), "\n").alias("line"))
-        .filter(_has(F.lower("line"), known))
-    )
-    words = lines.withColumn("words", _words_of(F.lower("line")))
-    pairs = _pairs_of(F.col("words"))
-    rows = words.withColumn("pairs", pairs)
-    rows = rows.withColumn("grams", F.array_intersect(F.array_union("words", "pairs"), _array(model["vocabulary"], "string")))
-    weights = F.create_map(
-        *[c for g, own in zip(model["vocabulary"], model["weights"], strict=True) for c in (F.lit(g), _array(map(float, own), "double"))]
-    )
-    logits = F.aggregate(
-        "grams",
-        _array(map(float, model["bias"]), "double"),
-        lambda total, g: F.zip_with(total, F.element_at(weights, g), lambda a, b: a + b),
-    )
-    rows = rows.withColumn("logits", F.transform(logits, lambda z: z / temperature))
-    rows = rows.withColumn("most", F.array_max("logits"))
-    rows = rows.withColumn(
-        "probability", 1 / F.aggregate("logits", F.lit(0.0), lambda total, z: total + F.exp(z - F.col("most")))
-    )
-    rows = rows.withColumn(
-        "family",
-        F.when(F.col("probability") >= LEAST_PROBABILITY, F.element_at(_array(families, "string"), F.array_position("logits", F.col("most")).cast("int")))
-        .otherwise(UNKNOWN),
-    )
-    shared = F.lit(0.0)
-    for family, notices in NOTICES.items():
-        shares = [
-            F.size(F.array_intersect("pairs", _array(sorted(set(_pairs(_words(n)))), "string"))) / float(len(set(_pairs(_words(n)))))
-            for n in notices
-        ]
-        shared = F.when(F.col("family") == family, F.greatest(*shares) if len(shares) > 1 else shares[0]).otherwise(shared)
-    rows = rows.filter(F.col("family") != UNKNOWN).withColumn("shared", shared)
-    rows = rows.withColumn("confirmed", F.col("shared") >= LEAST_SHARED).filter((F.col("size") == 1) | F.col("confirmed"))
-    return _apart(rows).select(
+    own = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
+    may_wrap = _has(F.lower("text"), needed_words())
+    lines = F.posexplode(F.split("text", "\n")).alias("paragraph", "line")
+    plain = _classified(own.filter(~may_wrap).select("doc_id", lines), model)
+    # Written once, so that a text keeps its number.
+    texts = own.filter(may_wrap).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("text", "\n").alias("lines"))
+    texts = held(texts, "licence-texts")
+    key = ["row", "paragraph", "size"]
+    single = texts.select("row", F.posexplode("lines").alias("paragraph", "line")).withColumn("size", F.lit(1))
+    single = held(_classified(single, model), "licence-lines")
+    cover = F.expr("array_join(slice(lines, paragraph + 1, size), '\n')").alias("line")
+    joined = texts.join(_wrapped(texts), "row").select(*key, cover)
+    wrapped = held(_classified(joined, model).filter(F.col("shared") >= LEAST_SHARED), "licence-wraps")
+    whole = single.filter(F.col("shared") == 1).select("row", F.col("paragraph").alias("at"))
+    over = (F.col("at") >= F.col("paragraph")) & (F.col("at") < F.col("paragraph") + F.col("size"))
+    with_whole = wrapped.join(whole, "row").filter(over).select(*key).distinct()
+    wrapped = held(_apart(wrapped.join(with_whole, key, "left_anti")), "licence-apart")
+    inside = single.select("row", F.col("paragraph").alias("at")).join(wrapped.select(*key), "row").filter(over)
+    alone = single.join(inside.select("row", F.col("at").alias("paragraph")).distinct(), ["row", "paragraph"], "left_anti")
+    found = alone.drop("line").unionByName(wrapped).join(texts, "row").select("doc_id", "paragraph", cover, "family", "probability", "shared")
+    return plain.unionByName(found).select(
         "doc_id",
         "paragraph",
         "family",
         F.round("probability", 6).alias("probability"),
         F.round("shared", 6).alias("shared"),
-        "confirmed",
+        (F.col("shared") >= LEAST_SHARED).alias("confirmed"),
         F.col("line").alias("text"),
     )

@@ -69,3 +69,45 @@ def test_wrapped_notices_are_confirmed_once(documents):
     assert len(rows) == len(texts)
     twice = m.scan(df.union(df), m.train(df.limit(0))).filter("confirmed")
     assert twice.count() == 2 * len(texts)
+
+
+def test_notices_wrapped_over_many_lines(documents):
+    notices = [(f, n) for f, own in m.NOTICES.items() for n in own if len(n) > 100]
+    texts = ["A title line\n" + "\n".join(n.split()) + "\nand so on" for _, n in notices]
+    df = documents(texts + [x + "\n\n" + x for x in texts])
+    rows = m.scan(df, m.train(df.limit(0))).filter("confirmed").collect()
+    assert {(r.doc_id, r.family) for r in rows} == {(k, f) for k in range(2 * len(texts)) for f in [notices[k % len(texts)][0]]}
+    # The long Apache notice begins with a short one, which is the better finding; what follows it is another.
+    once = [f for f, _ in notices if f != "Apache-2.0"]
+    assert len([r for r in rows if r.family != "Apache-2.0"]) == 3 * len(once)
+    assert max(r.text.count("\n") for r in rows) > 35
+
+
+def test_scores_match_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = m.train(docs)
+    column = {g: k for k, g in enumerate(model["vocabulary"])}
+    want = set()
+    for r in docs.collect():
+        for at, line in enumerate(r.text.split("\n")):
+            words = m._words(line)
+            z = model["bias"] + sum((model["weights"][column[g]] for g in {*words, *m._pairs(words)} & column.keys()), 0 * model["bias"])
+            p = m.np.exp((z - z.max()) / model["temperature"])
+            family, probability = model["families"][int(p.argmax())], p.max() / p.sum()
+            if family != m.UNKNOWN and probability >= m.LEAST_PROBABILITY:
+                shared = max(len(set(m._pairs(words)) & x) / len(x) for n in m.NOTICES[family] for x in [set(m._pairs(m._words(n)))])
+                want.add((r.doc_id, at, family, round(float(probability), 4), round(shared, 6), shared >= m.LEAST_SHARED))
+    rows = m.scan(docs, model).filter("text not like '%\n%'").collect()
+    assert {(r.doc_id, r.paragraph, r.family, round(r.probability, 4), r.shared, r.confirmed) for r in rows} == want
+
+
+def test_most_of_a_notice_has_a_needed_word():
+    needed = m.needed_words()
+    rng = m.np.random.default_rng(0)
+    for notice in (n for own in m.NOTICES.values() for n in own):
+        pairs = sorted(set(m._pairs(m._words(notice))))
+        least = int(m.np.ceil(m.LEAST_SHARED * len(pairs)))
+        for _ in range(50):
+            some = rng.choice(pairs, least, replace=False)
+            assert any(w in " ".join(some) for w in needed)
+    assert len(needed) < 60
