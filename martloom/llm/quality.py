@@ -224,26 +224,30 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     return {"weights": weights, "bias": float(bias), "mean": mean}
 
 
-def scored(docs: DataFrame, model: dict, text: str = "text", score: str = "score") -> DataFrame:
-    """The rows of docs with the probability of being good in a column `score`, which replaces one of that name."""
+def scored(docs: DataFrame, model: dict, text: str = "text", score: str = "score", least: float | None = None) -> DataFrame:
+    """The rows of docs with the probability of being good in a column `score`, which replaces one of that name.
+
+    With `least`, only rows of at least this probability come back from the workers.
+    """
     model = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c != score]
-    data = "text_bytes"
-    while data in names:
-        data += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias, mean = (model.value[k] for k in ("weights", "bias", "mean"))
-        for part, texts in _texts(batches, len(names)):
-            # A few characters say little: a short text is drawn towards the average text.
-            said = np.array([len(x) / (len(x) + _FEW) for x in texts])
-            logits = bias + mean + said * (np.array([float(features(x)[0] @ weights) for x in texts]) - mean)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[: len(names)], pa.array(1 / (1 + np.exp(-logits)), pa.float64())], [*names, score]
-            )
-
-    own = docs.select(*names, _as_bytes(text).alias(data))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema.fields]
+        at = names.index(text)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                texts = [x or b"" for x in part.column(at).cast(pa.binary()).to_pylist()]
+                # A few characters say little: a short text is drawn towards the average text.
+                said = np.array([len(x) / (len(x) + _FEW) for x in texts])
+                logits = bias + mean + said * (np.array([float(features(x)[0] @ weights) for x in texts]) - mean)
+                found = 1 / (1 + np.exp(-logits))
+                out = pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], [*names, score])
+                yield out if least is None else out.filter(pa.array(found >= least))
+
+    own = docs.select(*names)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields]
     return own.mapInArrow(run, ", ".join([*fields, f"`{score}` double"]))
 
 
@@ -258,5 +262,4 @@ def keep_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     score = "quality_score"
     while score in docs.columns:
         score += "_"
-    rows = scored(docs, train(docs, doc_id, text), text, score)
-    return rows.filter(F.col(score) >= LEAST_GOOD).select(*docs.columns)
+    return scored(docs, train(docs, doc_id, text), text, score, LEAST_GOOD).select(*docs.columns)

@@ -206,18 +206,9 @@ def links(distinct: DataFrame, budget: int = BUDGET, node: int = NODE, part: int
 
 
 def near_groups(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, budget: int | None = None
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, budget: int = BUDGET
 ) -> DataFrame:
-    """(doc_id, text_hash, fp, root, component_id), one row per row of docs.
-
-    Without a budget, shingles of WORDS words are linked at BUDGET bits, and those of other lengths by their exact
-    similarity, as in shingle_join.
-    """
-    if budget is None and words != WORDS:
-        from martloom.llm import shingle_join
-
-        return shingle_join.near_groups(docs, doc_id, text, words)
-    budget = BUDGET if budget is None else budget
+    """(doc_id, text_hash, fp, root, component_id), one row per row of docs."""
     rows = held(fingerprints(docs, doc_id, text, words), "fingerprints")
     distinct = held(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(links(distinct.select("fp"), budget))
@@ -229,7 +220,7 @@ def near_groups(
     return rows.join(of_fp, "fp")
 
 
-def keep_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, budget: int | None = None) -> DataFrame:
+def keep_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, budget: int = BUDGET) -> DataFrame:
     """One whole row of each component: that of its smallest doc_id."""
     return rows_that_stay(docs, near_groups(docs, doc_id, text, words, budget), doc_id, text)
 

@@ -20,7 +20,11 @@ def test_stages_and_run_agree(spark):
     ranks = byte_bpe._ranks(byte_bpe.read_ranks(vocabulary))
     encode = tiktoken.Encoding("whole", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     want = {r.doc_id: encode(r.text) for r in docs.collect()}
-    assert {r.doc_id: list(r.ids) for r in pipeline.run(spark, SF).collect()} == want
+    rows = pipeline.run(spark, SF).collect()
+    assert {r.doc_id: list(r.ids) for r in rows} == want
+    slots = {r.doc_id: (r.slot, r.place) for r in mixing.mixed(docs).collect()}
+    in_mix = [slots[r.doc_id] for r in sorted(rows, key=lambda r: (r.mix_file, r.mix_row))]
+    assert in_mix == sorted(in_mix)
 
 
 def test_each_stage_takes_its_operators_decisions(spark):
@@ -28,7 +32,7 @@ def test_each_stage_takes_its_operators_decisions(spark):
     ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
     assert ids(pipeline.good(spark, docs, SF)) == ids(quality.judged(docs).filter("kept"))
     assert ids(pipeline.different(spark, docs, SF)) == ids(exact_dedup.exact_groups(docs).filter("doc_id = keep_id"))
-    assert ids(pipeline.apart(spark, docs, SF)) == ids(simhash.near_groups(docs, words=5).filter("doc_id = component_id"))
+    assert ids(pipeline.apart(spark, docs, SF)) == ids(simhash.near_groups(docs).filter("doc_id = component_id"))
     assert ids(pipeline.in_proportion(spark, docs, SF)) == ids(mixing.mixed(docs).filter("in_mix"))
 
 

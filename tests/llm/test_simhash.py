@@ -90,7 +90,8 @@ def test_odd_rows(odd):
     assert all(r.component_id == 1 for r in rows if r.doc_id in (1, 2))
     kept = m.keep_rows(odd)
     assert kept.columns == odd.columns
-    assert kept.count() == len({r.root for r in m.near_groups(odd, words=5).collect()})
+    assert kept.count() == len({r.root for r in rows})
+    assert m.keep_rows(odd, words=5, budget=6).count() == len({r.root for r in m.near_groups(odd, words=5, budget=6).collect()})
 
 
 def test_long_texts_and_empty_table(odd):
