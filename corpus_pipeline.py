@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import byte_bpe, exact_dedup, mixing, quality, shingle_join
+from martloom.llm import byte_bpe, exact_dedup, mixing, quality, simhash
 from martloom.llm.common import held, table
 
 
@@ -25,21 +25,27 @@ def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each component of near-duplicates, by shingles of five words at a similarity of 0.8."""
-    return shingle_join.keep_rows(docs)
+    """One document, that of the smallest id, of each component of SimHash fingerprints at two or fewer differing bits."""
+    return simhash.keep_rows(docs)
 
 
 def in_proportion(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mix of sources."""
+    """All documents, in the order of the mix of sources: that of the files' names and of the rows in each."""
     return mixing.keep_rows(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_tokens, text_sha256): token ids, and the hash of what they decode to."""
-    ids = byte_bpe.tokens_of(spark, docs)
-    decoded = byte_bpe.decode(ids, byte_bpe.default_vocabulary()[0])
+    """(doc_id, mix_file, mix_row, ids, n_tokens, text_sha256): token ids, and the hash of what they decode to.
+
+    mix_file and mix_row are the document's place in the files that the stage before wrote, and so in the mix.
+    """
+    placed = docs.select(
+        F.struct("doc_id", F.col("_metadata.file_name").alias("mix_file"), F.col("_metadata.row_index").alias("mix_row")).alias("doc_id"),
+        "text",
+    )
+    decoded = byte_bpe.decode(byte_bpe.tokens_of(spark, placed), byte_bpe.default_vocabulary()[0])
     return decoded.select(
-        "doc_id", "ids", F.size("ids").alias("n_tokens"), F.sha2("bytes", 256).alias("text_sha256")
+        "doc_id.*", "ids", F.size("ids").alias("n_tokens"), F.sha2("bytes", 256).alias("text_sha256")
     )
 
 
