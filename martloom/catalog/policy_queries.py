@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martloom.catalog import sqltext as S
 from martloom.catalog.registry import comparable, register
@@ -16,6 +19,13 @@ from martloom.sources.tables import due_policies
 from martloom.workspace import scratch_path
 
 _BOTH = "policy_src dim_policy"
+_FLAGS = (
+    "SELECT policy_id, policy_holder_name, policy_type, CAST(premium_amount AS DOUBLE) AS premium_amount, "
+    "CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date, updated_date, source_system, "
+    "matched, attr_changed, NOT matched AS new_record, matched AND attr_changed AS changed, "
+    "matched AND NOT attr_changed AS unchanged, policy_id IS NOT NULL AS valid, "
+    "CAST(CASE WHEN matched THEN lk_version_no + 1 ELSE 1 END AS INTEGER) AS out_version_no FROM paired"
+)
 
 
 def _due(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,18 +49,34 @@ def policy_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     "policy_changes",
     with_tables(
         _BOTH,
-        S.POLICY_CTES
-        + "SELECT policy_id, policy_holder_name, policy_type, CAST(premium_amount AS DOUBLE) AS premium_amount, "
-        "CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date, updated_date, source_system, "
-        "matched, attr_changed, NOT matched AS new_record, matched AND attr_changed AS changed, "
-        "matched AND NOT attr_changed AS unchanged, policy_id IS NOT NULL AS valid, "
-        "CAST(CASE WHEN matched THEN lk_version_no + 1 ELSE 1 END AS INTEGER) AS out_version_no FROM paired",
+        S.POLICY_CTES + _FLAGS,
     ),
 )
 def policy_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(scd2.classify(_due(spark, sf_dir), T.dim_policy(spark, sf_dir)))
 
 
+_MONTH = timedelta(days=30)
+
+
+@register(
+    "policy_month_changes",
+    with_tables(
+        _BOTH,
+        S.POLICY_CTES.replace(
+            f"updated_date <= {POLICY_RUN_DATE}",
+            f"updated_date <= {POLICY_RUN_DATE} AND updated_date > {POLICY_RUN_DATE} - {_MONTH.days}",
+        )
+        + _FLAGS,
+    ),
+)
+def policy_month_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of the last month's policies: a small source, for which a Bloom filter narrows the dimension."""
+    since = F.lit(f"{(T.POLICY_RUN_DATE - _MONTH).isoformat()} 00:00:00").cast("timestamp_ntz")
+    due = _due(spark, sf_dir).filter(F.col("updated_date") > since)
+    return comparable(scd2.classify(due, scd2.lookup(due, T.dim_policy(spark, sf_dir), due.count())))
+
+
 @register(
     "policy_inserts",
     with_tables(

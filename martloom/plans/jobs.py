@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from martloom import schemas
 from martloom.context import RunContext
 from martloom.operators.numbering import next_key, number_rows
-from martloom.plans import audit, customer_audit, rejects, retail, scd2
+from martloom.plans import audit, customer_audit, policy_store, rejects, retail, scd2
 from martloom.plans.dimension_changes import dimension_changes
 from martloom.sinks.delimited import write_delimited
 from martloom.sinks.tables import append_rows, clustered, drop_partition, read_table, refresh_path, replace_batch
 from martloom.sources.delimited import DelimitedFormat, scan_delimited
-from martloom.sources.files import existing_paths
+from martloom.sources.files import path_exists
 from martloom.sources.tables import due_policies
 
 _FILE_SCHEMAS = {
@@ -156,55 +156,23 @@ def record_dimension_changes(
     return seen.get["rows"]
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-
-
 # --- the audited policy load -------------------------------------------------------------------------------------
 
 
-# Added rows after they got their surrogate keys.
-_KEYED = "keyed"
-
-
-def _load_folder(root: str, load: str) -> str:
-    return _table(root, f"dim_policy/load={load}")
-
-
 def policy_dimension(spark: SparkSession, root: str) -> DataFrame:
-    """The dimension: kept and added rows of the newest load, and the rows closed by each load so far."""
-    commits = _table(root, "dim_policy_loads")
-    if not path_exists(spark, commits):
-        return spark.createDataFrame([], schemas.DIM_POLICY)
-    # One row per load ever made, so this list stays short. Load names sort by time.
-    rows = read_table(spark, commits, schemas.POLICY_LOADS).select("load").distinct().orderBy("load").collect()
-    loads = [row["load"] for row in rows]
-    folders = [f"{_load_folder(root, loads[-1])}/kind={kind}" for kind in (scd2.KEPT, _KEYED)]
-    folders += [f"{_load_folder(root, load)}/kind={scd2.CLOSED}" for load in loads]
-    present = existing_paths(spark, folders)
-    if not present:
-        return spark.createDataFrame([], schemas.DIM_POLICY)
-    return spark.read.schema(schemas.DIM_POLICY).parquet(*present).select(*schemas.DIM_POLICY.names)
+    return policy_store.dimension(spark, root)
 
 
 def run_policy_load(
     spark: SparkSession, policies: DataFrame, root: str, run: RunContext, log_path: str, clock=datetime.now
 ) -> None:
-    """One Type 2 load. The source meets the dimension in a single join, whose result is written once.
+    """One Type 2 load, which reads and writes current rows of the buckets that due policies fall into only.
 
-    Nothing that is read is overwritten: a load writes a folder of its own, with kept, closed and added rows
-    apart, checks it, and becomes visible with its row in ``dim_policy_loads``. Closed rows never change again,
-    so later loads do not copy them. Only added rows are written a second time, with their surrogate keys.
+    Its rows are worked out once and set aside, checked, given surrogate keys, and then put in place by steps that can
+    be repeated; see ``policy_store``. A load that broke off in between is completed by the next.
     """
     log = _table(root, "etl_audit_log")
     append_rows(audit.started_row(spark, run), log, schemas.ETL_AUDIT_LOG)
-    folder = None
 
     def report(conflicts: DataFrame) -> str:
         path = f"{log_path.rstrip('/')}/dim_policy_conflicts_{run.run_date.isoformat()}"
@@ -212,19 +180,25 @@ def run_policy_load(
         return path
 
     try:
+        policy_store.complete(spark, root)
         due = due_policies(policies, run.run_date)
-        dimension = policy_dimension(spark, root)
-        load = f"{clock():%Y%m%d%H%M%S%f}-{run.batch_id}"
-        folder = _load_folder(root, load)
-
         scd2.check_source(due, report)
+        # At most one row a bucket.
+        keyed = due.filter(F.col("policy_id").isNotNull())
+        counts = keyed.groupBy(policy_store.bucket_of("policy_id").alias("bucket")).count().collect()
+        touched, keys = [r["bucket"] for r in counts], sum(r["count"] for r in counts)
         seen = Observation("versions")
         kinds = [F.count_if(F.col("kind") == kind).alias(kind) for kind in (scd2.ADDED, scd2.CLOSED)]
-        scd2.versions(due, dimension, run).observe(seen, *kinds).write.partitionBy("kind").parquet(folder)
-        image = spark.read.schema(schemas.POLICY_VERSIONS).parquet(folder)
-        scd2.check_versions(image, run, report)
-        added = image.filter(F.col("kind") == scd2.ADDED).drop("policy_key", "kind")
-        refresh_path(scd2.with_keys(added, dimension), f"{folder}/kind={_KEYED}")
+        load = f"{clock():%Y%m%d%H%M%S%f}-{run.batch_id}"
+        rows = scd2.load_versions(due, policy_store.current(spark, root, touched), run, keys).observe(seen, *kinds)
+        image = policy_store.set_aside(rows, root, load)
+        try:
+            scd2.check_versions(image, run, report)
+        except scd2.PolicyLoadError:
+            policy_store.drop(spark, root, load)
+            raise
+        added = seen.get[scd2.ADDED]
+        policy_store.put(spark, root, load, run, added)
 
         write_delimited(
             scd2.rejects(due),
@@ -232,15 +206,10 @@ def run_policy_load(
             DelimitedFormat(separator="|"),
         )
         totals = due.agg(F.count(F.lit(1)).alias("source_count")).withColumns(
-            {"target_inserts": F.lit(seen.get[scd2.ADDED]), "target_updates": F.lit(seen.get[scd2.CLOSED])}
+            {"target_inserts": F.lit(added), "target_updates": F.lit(seen.get[scd2.CLOSED])}
         )
-        commit = spark.range(1).select(F.lit(load).alias("load"), run.batch.alias("batch_id"), run.now.alias("loaded_at"))
-        append_rows(commit, _table(root, "dim_policy_loads"), schemas.POLICY_LOADS)
-        folder = None
         # Success is logged of what can be seen.
         append_rows(audit.policy_log_row(totals, run, clock()), log, schemas.ETL_AUDIT_LOG)
     except Exception as error:
-        if folder:
-            delete_path(spark, folder)
         append_rows(audit.failed_row(spark, run, clock(), str(error)), log, schemas.ETL_AUDIT_LOG)
         raise

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.context import RunContext
 from martloom.functions import any_of, as_object, day_before, differs
+from martloom.operators.bloom import bloom_filter, may_contain, words_for
 from martloom.operators.checks import duplicates
 from martloom.operators.numbering import next_key, number_by_key
 from martloom.schemas import DIM_POLICY, POLICY_SRC, POLICY_VERSIONS
@@ -30,6 +31,22 @@ def current_rows(dimension: DataFrame) -> DataFrame:
     return dimension.filter(F.col("current_flag") == CURRENT)
 
 
+def narrowed(rows: DataFrame, due: DataFrame, keys: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose policy may be due, all others), by a Bloom filter of the `keys` or so policies that are due.
+
+    A false positive is a row more for the join that follows, which finds nothing.
+    """
+    words = words_for(keys)
+    found = may_contain(bloom_filter(due, "policy_id", words), F.col("policy_id"), words)
+    return rows.filter(found), rows.filter(~found)
+
+
+def lookup(due: DataFrame, dimension: DataFrame, keys: int) -> DataFrame:
+    """Current rows that the source may refer to, for a source much smaller than the dimension: about as many rows as
+    are due enter the join with it, whatever the size of the dimension."""
+    return narrowed(current_rows(dimension), due, keys)[0]
+
+
 def match(due: DataFrame, dimension: DataFrame) -> DataFrame:
     """Every valid source row and every current dimension row, paired by policy.
 
@@ -114,9 +131,18 @@ def expired(due: DataFrame, dimension: DataFrame, run: RunContext) -> DataFrame:
 
 def with_keys(new_rows: DataFrame, dimension: DataFrame) -> DataFrame:
     """Surrogate keys after the dimension's largest, in policy order."""
-    return number_by_key(new_rows, "policy_id", "policy_key", after=next_key(dimension, "policy_key")).select(
-        *DIM_POLICY.names
-    )
+    return keyed_after(new_rows, next_key(dimension, "policy_key"))
+
+
+def keyed_after(new_rows: DataFrame, last: Column | int) -> DataFrame:
+    """Surrogate keys after ``last``, in policy order."""
+    return number_by_key(new_rows, "policy_id", "policy_key", after=last).select(*DIM_POLICY.names)
+
+
+def load_versions(due: DataFrame, current: DataFrame, run: RunContext, keys: int) -> DataFrame:
+    """``versions`` for a load: current rows that a Bloom filter of the due policies rules out are KEPT without a join."""
+    maybe, others = narrowed(current, due, keys)
+    return versions(due, maybe, run).unionByName(others.select(*DIM_POLICY.names, F.lit(KEPT).alias("kind")))
 
 
 def versions(due: DataFrame, dimension: DataFrame, run: RunContext) -> DataFrame:

@@ -69,7 +69,8 @@ DIM_POLICY = _fields(
 )
 POLICY_VERSIONS = T.StructType([*DIM_POLICY, T.StructField("kind", T.StringType())])
 POLICY_REJECTS = _file("policy_id STRING, error_desc STRING, raw_data STRING")
-POLICY_LOADS = _fields("load STRING, batch_id STRING, loaded_at TIMESTAMP_NTZ")
+# A load's two entries: when its rows were ready, with the largest surrogate key they use, and when they were in place.
+POLICY_LOADS = _fields("load STRING, batch_id STRING, loaded_at TIMESTAMP_NTZ, state STRING, last_key BIGINT")
 ETL_AUDIT_LOG = _fields(
     "job_name STRING, batch_id STRING, start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, source_count BIGINT, "
     "target_inserts BIGINT, target_updates BIGINT, status STRING, error_message STRING"

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.context import POLICY_JOB, RunContext
-from martloom.plans import jobs, scd2
+from martloom.operators import bloom
+from martloom.plans import jobs, policy_store, scd2
 from martloom.sources.tables import due_policies
 from tests.rows import frame
 
@@ -149,3 +150,92 @@ def test_load_of_nothing_and_then_something(spark, tmp_path):
     assert (row["policy_key"], row["policy_id"], row["version_no"]) == (1, 4, 1)
     log = spark.read.parquet(f"{root}/etl_audit_log").filter("status = 'SUCCESS'").orderBy("start_time")
     assert [r["target_inserts"] for r in log.collect()] == [0, 1]
+
+
+def load(spark, root, day, *rows):
+    run = RunContext.start(POLICY_JOB, run_ts=datetime(2024, 3, day, 6), run_date=date(2024, 3, day))
+    jobs.run_policy_load(spark, source(spark, *rows), str(root / "mart"), run, str(root / "logs"))
+
+
+def files(root):
+    return {p: p.stat().st_mtime_ns for p in (root / "mart/dim_policy/current").rglob("*.parquet")}
+
+
+def test_a_load_leaves_untouched_buckets_and_history_alone(spark, tmp_path):
+    load(spark, tmp_path, 1, *[{"policy_id": k} for k in range(40)])
+    load(spark, tmp_path, 2, *[{"policy_id": k, "policy_type": "U"} for k in range(5)])
+    before, history = files(tmp_path), {p: p.stat().st_mtime_ns for p in (tmp_path / "mart/dim_policy/closed").rglob("*.parquet")}
+    load(spark, tmp_path, 3, {"policy_id": 7, "policy_type": "V"})
+    after = files(tmp_path)
+    bucket = spark.createDataFrame([(7,)], "policy_id long").select(policy_store.bucket_of("policy_id")).first()[0]
+    changed = {p.parent.name for p in before.keys() ^ after.keys()}
+    assert changed == {f"bucket={bucket}"}
+    assert all(after[p] == before[p] for p in before.keys() & after.keys())
+    assert all(p.stat().st_mtime_ns == t for p, t in history.items())
+    dim = policy_store.dimension(spark, str(tmp_path / "mart"))
+    check_invariants(dim)
+    assert dim.count() == 46
+    assert sorted(r["policy_key"] for r in dim.collect()) == list(range(1, 47))
+    assert not (tmp_path / "mart/dim_policy/aside").exists() or not any((tmp_path / "mart/dim_policy/aside").iterdir())
+
+
+def test_only_touched_buckets_are_read(spark, tmp_path):
+    load(spark, tmp_path, 1, *[{"policy_id": k} for k in range(40)])
+    rows = policy_store.current(spark, str(tmp_path / "mart"), [3, 5])
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and "bucket" in text.split("PartitionFilters")[1]
+    kept = {r["policy_id"] for r in rows.collect()}
+    everything = policy_store.current(spark, str(tmp_path / "mart"))
+    assert kept == {r["policy_id"] for r in everything.filter(policy_store.bucket_of("policy_id").isin(3, 5)).collect()}
+
+
+@pytest.mark.parametrize("step", ["refresh_path", "scd2.keyed_after", "drop"])
+def test_a_load_that_broke_off_is_completed_by_the_next(spark, tmp_path, monkeypatch, step):
+    load(spark, tmp_path, 1, *[{"policy_id": k} for k in range(12)])
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("machine went away")
+
+    with monkeypatch.context() as m:
+        m.setattr(f"martloom.plans.policy_store.{step}", broken)
+        with pytest.raises(RuntimeError):
+            load(spark, tmp_path, 2, *[{"policy_id": k, "policy_type": "U"} for k in range(6)], {"policy_id": 50})
+    load(spark, tmp_path, 3, {"policy_id": 1, "policy_type": "W"}, {"policy_id": 51})
+    dim = policy_store.dimension(spark, str(tmp_path / "mart"))
+    check_invariants(dim)
+    versions = {}
+    for r in dim.collect():
+        versions.setdefault(r["policy_id"], []).append(r["policy_type"])
+    assert sorted(versions[1]) == ["T", "U", "W"] and sorted(versions[2]) == ["T", "U"]
+    assert versions[7] == ["T"] and versions[50] == ["T"] and versions[51] == ["T"]
+
+
+def test_a_rerun_of_a_batch_keeps_what_it_closed_before(spark, tmp_path):
+    load(spark, tmp_path, 1, *[{"policy_id": k} for k in range(4)])
+    load(spark, tmp_path, 2, {"policy_id": 1, "policy_type": "U"})
+    load(spark, tmp_path, 2, {"policy_id": 1, "policy_type": "U"}, {"policy_id": 2, "policy_type": "U"})
+    dim = policy_store.dimension(spark, str(tmp_path / "mart"))
+    check_invariants(dim)
+    assert dim.count() == 6
+
+
+def test_bloom_filter_keeps_all_keys_and_few_others(spark):
+    own = spark.range(0, 30_000, 3).withColumn("id", F.when(F.col("id") % 10 != 0, F.col("id")))
+    keys = own.filter("id IS NOT NULL").count()
+    words = bloom.words_for(keys)
+    test = bloom.may_contain(bloom.bloom_filter(own, "id", words), F.col("id"), words)
+    inside = own.filter("id IS NOT NULL").filter(~test)
+    assert inside.count() == 0
+    others = spark.range(100_000, 150_000)
+    assert others.filter(test).count() < 0.03 * 50_000
+    assert own.filter("id IS NULL").filter(test).count() == 0
+    assert others.filter(bloom.may_contain(bloom.bloom_filter(own.limit(0), "id", 16), F.col("id"), 16)).count() == 0
+
+
+def test_about_as_many_rows_as_are_due_enter_the_join(spark):
+    dim = dimension(spark, *[{"policy_key": k, "policy_id": k} for k in range(5000)])
+    src = source(spark, *[{"policy_id": k, "policy_type": "U"} for k in range(0, 5000, 100)], {"policy_id": 9999})
+    assert 50 <= scd2.lookup(src, dim, 51).count() <= 200
+    assert scd2.classify(src, scd2.lookup(src, dim, 51)).exceptAll(scd2.classify(src, dim)).count() == 0
+    rows = scd2.load_versions(src, dim, RUN, 51)
+    assert rows.exceptAll(scd2.versions(src, dim, RUN)).count() == 0 and rows.count() == 5051
