@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,31 +12,57 @@ from martloom.functions import sort_key
 from martloom.sources.charsets import encode_text, spark_charset
 from martloom.sources.delimited import DelimitedFormat, escaped
 
+CANNOT_CARRY = "a text cell has a line break or control character; choose another line_breaks of the layout"
 _MODES = {"overwrite": "overwrite", "append": "append", "create": "errorifexists"}
 
 
 def as_line(df: DataFrame, layout: DelimitedFormat = DelimitedFormat()) -> Column:
     """A row as one text line: text columns in double quotes, all others bare, null as nothing.
 
-    Line breaks and the control characters that the file itself needs are escaped, so that a line is a row whatever
-    its texts hold, and files stay splittable; ``scan_delimited`` undoes it.
+    Line breaks in texts go by the layout's ``line_breaks``: an error, or escaped.
     """
-    cells = []
+    cells, texts = [], False
     for name, kind in df.dtypes:
         value = F.col(f"`{name}`")
         if kind == "string":
-            quoted = F.concat(F.lit('"'), F.replace(escaped(value), F.lit('"'), F.lit('""')), F.lit('"'))
-            cells.append(F.coalesce(quoted, F.lit("")))
+            texts = True
+            own = escaped(value) if layout.line_breaks == "escape" else value
+            cells.append(F.coalesce(F.concat(F.lit('"'), F.replace(own, F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")))
         elif kind == "date":
             cells.append(F.coalesce(F.date_format(value, layout.date_format), F.lit("")))
         else:
             cells.append(F.coalesce(value.cast("string"), F.lit("")))
-    return encode_text(F.concat_ws(layout.separator, *cells), layout.charset)
+    line = F.concat_ws(layout.separator, *cells)
+    if texts and layout.line_breaks == "refuse":
+        line = _carried(line, "\n\r\u0000\u0001")
+    return encode_text(line, layout.charset)
+
+
+def _carried(line: Column, refused: str) -> Column:
+    """The line, or an error if it has a character that the layout cannot carry. Searching the whole line costs less than a
+    search of each cell."""
+    found = reduce(lambda a, b: a | b, [F.contains(line, F.lit(c)) for c in refused])
+    return F.when(found, F.raise_error(F.lit(CANNOT_CARRY))).otherwise(line)
 
 
 def _writer(df: DataFrame, layout: DelimitedFormat, mode: str, keep: Sequence[str] = ()):
-    """The lines go out as a one-column file whose column name is the header line itself."""
+    """The lines go out as a one-column file whose column name is the header line itself; those with line breaks inside
+    quotes go out as the columns they are, quoted where they need it."""
     carried = df.drop(*keep)
+    if layout.line_breaks == "quote":
+        texts = [n for n, kind in carried.dtypes if kind == "string"]
+        return df.withColumns({n: encode_text(F.col(f"`{n}`"), layout.charset) for n in texts}).write.mode(_MODES[mode]).options(
+            header=str(layout.header).lower(),
+            sep=layout.separator,
+            quote='"',
+            escape='"',
+            dateFormat=layout.date_format,
+            emptyValue='""',
+            nullValue="",
+            encoding=spark_charset(layout.charset),
+            ignoreLeadingWhiteSpace="false",
+            ignoreTrailingWhiteSpace="false",
+        )
     header = layout.separator.join(carried.columns)
     lines = df.select(*[F.col(k) for k in keep], as_line(carried, layout).alias(header))
     return lines.write.mode(_MODES[mode]).options(

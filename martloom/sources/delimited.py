@@ -19,11 +19,13 @@ _FILE = "_source_file"
 _BLOCK = "_source_block"
 _SEEN = "_seen"
 
-# Stands for a cell without anything in it, so that quoted empty text stays apart from it. No text can hold it:
-# it is one of the characters that are escaped.
-_NOTHING = "\u0002"
-# What a delimited text cell cannot carry as it is, and the two characters that stand for it. The
-# first of the two is itself escaped. Files written elsewhere have none of them and read as they are.
+_LINE = "_line"
+_ROW = "_row"
+
+# Stands for a cell without anything in it, so that quoted empty text stays apart from it.
+_NOTHING = "\u0002 nothing \u0002"
+# What layouts with `line_breaks="escape"` write in place of characters that a line cannot carry. The first of the two is
+# itself escaped. Other layouts know nothing of it.
 _ESCAPES = (
     ("\u001a", "\u001as"),
     ("\n", "\u001an"),
@@ -36,13 +38,24 @@ _ESCAPES = (
 
 @dataclass(frozen=True)
 class DelimitedFormat:
-    """How a delimited file is laid out. The defaults are the reference's file format."""
+    """How a delimited file is laid out. The defaults are the reference's file format.
+
+    ``line_breaks`` says what becomes of line breaks inside text cells. ``refuse``: a sink stops at one, a source takes
+    every line as a record, so files are read in splits. ``quote``: they stand inside the quotes, as other tools write
+    them; such a file is read by one task. ``escape``: signs that only this library undoes stand for them and for the
+    control characters U+0000 to U+0002 and U+001A, and files stay splittable.
+    """
 
     separator: str = ","
     header: bool = False
     charset: str = "UTF-8"
     date_format: str = "yyyy-MM-dd"
     line_separator: str | None = None
+    line_breaks: str = "refuse"
+
+    def __post_init__(self) -> None:
+        if self.line_breaks not in ("refuse", "quote", "escape"):
+            raise ValueError("line_breaks is 'refuse', 'quote' or 'escape'")
 
     def options(self) -> dict[str, str]:
         chosen = {
@@ -62,6 +75,8 @@ class DelimitedFormat:
             chosen["multiLine"] = "true"
         elif name in ("utf-16-le", "utf-16-be"):
             chosen["lineSep"] = "\n"
+        if self.line_breaks == "quote":
+            chosen["multiLine"] = "true"
         if self.line_separator:
             chosen["lineSep"] = self.line_separator
         return chosen
@@ -147,7 +162,7 @@ def _finish(frame: DataFrame, schema: T.StructType, layout: DelimitedFormat, ext
     def value(f: T.StructField) -> Column:
         if f.dataType != T.StringType():
             return F.col(f.name)
-        text = unescaped(F.col(f.name))
+        text = unescaped(F.col(f.name)) if layout.line_breaks == "escape" else F.col(f.name)
         return text if f.nullable else F.coalesce(text, F.lit(""))
 
     values = [value(f).alias(f.name) for f in schema]
@@ -201,25 +216,49 @@ def scan_with_rejects(
     reason: str | None = None,
     missing: str = "error",
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit, rejected raw records). ``reason`` names a column telling what was wrong with each."""
-    frame = _raw(spark, resolve_paths(spark, paths, missing), schema, layout, "PERMISSIVE")
+    """(rows that fit, rejected raw records). ``reason`` names a column telling what was wrong with each.
+
+    Lines are read as they are and parsed beside themselves, so a rejected record is the file's line to the letter, and both
+    results come from one rule. Files whose records may be several lines are parsed as a whole; there, a record rejected
+    for an empty required column is put together again from its values.
+    """
+    found = resolve_paths(spark, paths, missing)
+    if found and "multiLine" not in layout.options():
+        frame = _parsed_lines(spark, found, schema, layout)
+        record = F.coalesce(F.col(_BAD), F.col(_LINE))
+    else:
+        frame = _raw(spark, found, schema, layout, "PERMISSIVE")
+        record = F.coalesce(F.col(_BAD), F.to_csv(F.struct(*[F.col(f.name) for f in schema]), {"sep": layout.separator}))
     absent = _absent_required(schema)
     broken = F.col(_BAD).isNotNull()
     good = _finish(frame.filter(~broken & ~absent & _parsed_whole(schema)), schema, layout, {})
-    rebuilt = F.to_csv(F.struct(*[F.col(f.name) for f in schema]), {"sep": layout.separator})
     bad = frame.filter((broken | absent) & _parsed_whole(schema)).select(
-        F.coalesce(F.col(_BAD), rebuilt).alias("raw_record"),
-        *([_reason(schema, layout).alias(reason)] if reason else []),
+        record.alias("raw_record"), *([_reason(schema, layout).alias(reason)] if reason else [])
     )
     return good, decode_strings(bad, layout.charset)
 
 
+def _parsed_lines(spark: SparkSession, paths: list[str], schema: T.StructType, layout: DelimitedFormat) -> DataFrame:
+    """The declared columns, the bad record if a line does not fit them, and the line."""
+    # A separator that a text hardly has, and no quotes: a line is one value. One that has it comes as a bad record.
+    whole = {**layout.options(), "sep": "\u0001", "quote": "", "columnNameOfCorruptRecord": _BAD}
+    lines = spark.read.schema(f"{_LINE} STRING, {_BAD} STRING").options(**whole).csv(paths)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema, T.StructField(_BAD, T.StringType())])
+    options = {k: v for k, v in layout.options().items() if k in ("sep", "quote", "escape", "dateFormat", "nullValue")}
+    line = F.coalesce(F.col(_BAD), F.col(_LINE)).alias(_LINE)
+    row = F.from_csv(F.coalesce(F.col(_BAD), F.col(_LINE)), fields, {**options, "columnNameOfCorruptRecord": _BAD})
+    # The row number keeps filters above the parser, so that a line is parsed once.
+    return lines.select(line, row.alias(_ROW), F.monotonically_increasing_id().alias(_SEEN)).select(_LINE, _SEEN, f"{_ROW}.*")
+
+
 def _reason(schema: T.StructType, layout: DelimitedFormat) -> Column:
     """First fault of a bad record: its column count, then the first column that does not hold its type."""
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(_BAD, T.StringType())])
     ddl = ", ".join(f"`{f.name}` STRING" for f in texts)
     tokens = F.from_csv(
-        F.col(_BAD), ddl, {"sep": layout.separator, "escape": '"', "columnNameOfCorruptRecord": _BAD}
+        F.col(_BAD),
+        ddl,
+        {"sep": layout.separator, "escape": '"', "nullValue": _NOTHING, "columnNameOfCorruptRecord": _BAD},
     )
     outcome = F.when(
         F.col(_BAD).isNotNull() & tokens[_BAD].isNotNull(), F.lit(f"record does not have {len(schema)} columns")
@@ -227,7 +266,11 @@ def _reason(schema: T.StructType, layout: DelimitedFormat) -> Column:
     for f in schema:
         token = tokens[f.name]
         if f.dataType != T.StringType():
-            wrong = F.col(_BAD).isNotNull() & token.isNotNull() & token.try_cast(f.dataType).isNull()
+            if f.dataType == T.DateType():
+                value = F.try_to_date(token, layout.date_format)
+            else:
+                value = token.try_cast(f.dataType)
+            wrong = F.col(_BAD).isNotNull() & token.isNotNull() & value.isNull()
             outcome = outcome.when(wrong, F.lit(f"column {f.name} is not {f.dataType.simpleString()}"))
             if not f.nullable:
                 outcome = outcome.when(

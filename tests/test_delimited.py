@@ -58,7 +58,7 @@ def test_rejects_carry_the_record_and_the_reason(spark, tmp_path, small):
         ('x,"c",6', "column id is not int"),
         ('3,"d"', "record does not have 3 columns"),
         ('4,"e",7,8', "record does not have 3 columns"),
-        (",f,9", "column id is empty"),
+        (',"f",9', "column id is empty"),
         ('7,"g",y', "column age is not int"),
     }
     assert good.count() + bad.count() == 7
@@ -173,7 +173,7 @@ ODD_TEXTS = [
 def test_any_text_survives_a_round_trip(spark, tmp_path, charset, separator):
     schema = StructType.fromDDL("id INT NOT NULL, name STRING, age INT, note STRING")
     rows = [(k, t, None if k % 2 else k, ODD_TEXTS[-1 - k]) for k, t in enumerate(ODD_TEXTS)]
-    layout = DelimitedFormat(header=True, charset=charset, separator=separator)
+    layout = DelimitedFormat(header=True, charset=charset, separator=separator, line_breaks="escape")
     write_delimited(spark.createDataFrame(rows, schema), str(tmp_path / "out"), layout)
     assert sorted(map(tuple, scan_delimited(spark, str(tmp_path / "out"), schema, layout).collect())) == sorted(rows)
 
@@ -236,3 +236,51 @@ def test_hot_key_is_cut_into_several_sorted_files(spark, tmp_path):
         assert values == sorted(values)
         total += len(values)
     assert total == 20_000
+
+
+def test_line_breaks_are_refused_unless_the_layout_has_a_way(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "line\nbreak")], "id INT, name STRING")
+    with pytest.raises(Exception, match="line break"):
+        write_delimited(rows, str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="line_breaks"):
+        DelimitedFormat(line_breaks="drop")
+
+
+@pytest.mark.parametrize("separator", [",", "|"])
+def test_line_breaks_in_standard_quotes(spark, tmp_path, separator):
+    schema = StructType.fromDDL("id INT NOT NULL, name STRING, age INT, note STRING")
+    texts = [t for t in ODD_TEXTS if t is None or not set(t) & {"\u0000", "\u0001"}]
+    texts = [t and t.replace("\r\n", "\n") for t in texts]
+    rows = [(k, t, None if k % 2 else k, texts[-1 - k]) for k, t in enumerate(texts)]
+    layout = DelimitedFormat(header=True, separator=separator, line_breaks="quote")
+    write_delimited(spark.createDataFrame(rows, schema).coalesce(1), str(tmp_path / "out"), layout)
+    assert sorted(map(tuple, scan_delimited(spark, str(tmp_path / "out"), schema, layout).collect())) == sorted(rows)
+    (part,) = glob.glob(str(tmp_path / "out/part-*"))
+    import csv
+
+    with open(part, newline="") as f:
+        read = list(csv.reader(f, delimiter=separator))
+    assert [r[1] for r in read[1:]] == [t or "" for _, t, _, _ in rows]
+
+
+def test_foreign_control_characters_are_read_as_they_are(spark, tmp_path, small):
+    texts = ["a\u001an b", "\u001a0", "\u0002", "end\u001a", "a\u0001b"]
+    path = put(tmp_path / "a.csv", "".join(f'{k},"{t}",5\n' for k, t in enumerate(texts)))
+    for df in (scan_delimited(spark, path, small), scan_with_rejects(spark, path, small)[0]):
+        assert [r["name"] for r in sorted(df.collect())] == texts
+
+
+def test_rejected_lines_are_the_files_own(spark, tmp_path):
+    schema = StructType.fromDDL("id INT NOT NULL, name STRING, day DATE")
+    layout = DelimitedFormat(header=True, date_format="dd/MM/yyyy")
+    bad = [' 1 ,"a ""x"" b",31/12/2020', ',"f", ', '2,"g",2020-12-31', '3,"h",31/12/2020,', '4', '"5"x,"y\\",01/01/2021', ',"a\u0001b",01/01/2021']
+    good = ['6,"i",31/12/2020', '7,"",', '8,plain \\ text,01/02/2021']
+    path = put(tmp_path / "a.csv", "id,name,day\n" + "\n".join(x for pair in zip(bad, [*good, *good[:1] * 4]) for x in pair) + "\n")
+    kept, rejected = scan_with_rejects(spark, path, schema, layout, reason="why")
+    assert sorted(r["raw_record"] for r in rejected.collect()) == sorted(bad)
+    plain = sorted(map(tuple, scan_delimited(spark, path, schema, layout).collect()), key=repr)
+    assert sorted(map(tuple, kept.collect()), key=repr) == plain and len(plain) == 7
+    why = {r["raw_record"]: r["why"] for r in rejected.collect()}
+    assert why['2,"g",2020-12-31'] == "column day is not date"
+    assert why[',"f", '] in ("column id is empty", "column day is not date")
+    assert why['4'] == "record does not have 3 columns"
