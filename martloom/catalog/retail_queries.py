@@ -221,12 +221,20 @@ def project_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     "try_cast_int",
     with_tables(
         "transactions_fact",
-        "SELECT invoiceid, invoice_date, TRY_CAST(invoice_date AS INTEGER) AS invoice_date_int FROM transactions_fact",
+        "SELECT invoiceid, invoice_date, TRY_CAST(invoice_date AS INTEGER) AS invoice_date_int, "
+        "CAST(CASE productid % 3 WHEN 0 THEN round(CAST(quantity AS DOUBLE) + 0.7) WHEN 1 THEN quantity * 1000 END AS INTEGER) "
+        "AS quantity_int FROM transactions_fact",
     ),
 )
 def try_cast_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates as texts, and quantities as texts with a fraction, with an exponent, and with a word."""
+    suffix = F.element_at(F.array(F.lit(".7"), F.lit("e3"), F.lit(" pieces")), (F.col("productid") % 3 + 1).cast("int"))
+    quantity = F.concat(F.col("quantity").cast("string"), suffix)
     return T.transactions_fact(spark, sf_dir).select(
-        "invoiceid", "invoice_date", int_or_null("invoice_date").alias("invoice_date_int")
+        "invoiceid",
+        "invoice_date",
+        int_or_null("invoice_date", rounding=True).alias("invoice_date_int"),
+        int_or_null(quantity, rounding=True).alias("quantity_int"),
     )
 
 

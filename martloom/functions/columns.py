@@ -44,11 +44,13 @@ def has_text(value: Column | str) -> Column:
 def int_or_null(value: Column | str, rounding: bool = False) -> Column:
     """Text to integer, null where it is not one. ``rounding`` also takes decimal and exponent text, rounded."""
     text = _col(value)
-    if rounding:
-        return F.when(text.rlike(NUMBER_TEXT), F.round(text.try_cast("decimal(38,10)"), 0).try_cast("int"))
     # A failed cast is an exception inside the engine, caught and paid for per row; the pattern keeps
     # everything but overflows away from it.
-    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("int"))
+    whole = F.when(text.rlike(INTEGER_TEXT), text.try_cast("int"))
+    if not rounding:
+        return whole
+    # Only the rare text that is a number, but no integer, pays for a decimal.
+    return whole.when(text.rlike(NUMBER_TEXT), F.round(text.try_cast("decimal(38,10)"), 0).try_cast("int"))
 
 
 def date_or_null(value: Column | str) -> Column:

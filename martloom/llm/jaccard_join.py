@@ -41,8 +41,9 @@ LEAST = (85, 100)
 SEED = 42
 #: Times that sets with empty parts are dealt; those of the last time go to tiles of empty parts, too.
 DEALS = 8
-#: Names that a task sorts before it hands them on, those of a bucket, sets of a block, and pairs compared at once.
-AT_ONCE, BUCKET, BLOCK, PAIRS_AT_ONCE = 1_000_000, 2_000_000, 2048, 1 << 18
+#: Names that a task sorts before it hands them on, those of a bucket, sets of a block, and 64-bit words of bitmaps that
+#: are compared at once.
+AT_ONCE, BUCKET, BLOCK, WORDS_AT_ONCE = 1_000_000, 2_000_000, 2048, 1 << 20
 _TOPS = [1]
 while _TOPS[-1] < 2**40:
     _TOPS.append(max(_TOPS[-1] + 1, _TOPS[-1] * 13 // 10))
@@ -118,7 +119,7 @@ def tiles(own: np.ndarray, least: tuple[int, int] = LEAST) -> np.ndarray:
     """The names of the tiles that a set goes to, as the smaller and as the larger of a pair."""
     n = len(own)
     band = int(np.searchsorted(_TOPS, n))
-    found = []
+    found, dealt = [], {}
     # The larger set of a pair comes from the same band or from one of the next that partners can reach.
     first = band
     while first and _parts(first - 1, least)[0] >= n:
@@ -126,10 +127,12 @@ def tiles(own: np.ndarray, least: tuple[int, int] = LEAST) -> np.ndarray:
     for k in range(first, band + 1):
         _, parts, allowed = _parts(k, least)
         for deal in range(DEALS):
-            hashes = _mixed(own, 2 * deal + 1)
-            part = ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+            if deal not in dealt:
+                hashes = _mixed(own, 2 * deal + 1)
+                dealt[deal] = hashes >> np.uint64(32), _mixed(hashes, 2 * deal + 2)
+            part = (dealt[deal][0] % np.uint64(parts)).astype(np.int64)
             sums, filled = np.zeros(parts, np.uint64), np.zeros(parts, bool)
-            np.add.at(sums, part, _mixed(hashes, 2 * deal + 2))
+            np.add.at(sums, part, dealt[deal][1])
             filled[part] = True
             at = np.flatnonzero(filled)
             last = deal == DEALS - 1
@@ -342,7 +345,7 @@ def block_pairs(group: pa.Table, least: tuple[int, int] = LEAST) -> pa.Table:
                 continue
             x, y = np.array([bits[k] for k in left]), np.array([bits[k] for k in right])
             x, y = narrowed(x, min(w, v)), narrowed(y, min(w, v))
-            step = max(1, PAIRS_AT_ONCE // len(right))
+            step = max(1, WORDS_AT_ONCE // (min(w, v) * len(right)))
             for start in range(0, len(left), step):
                 p, q = np.divmod(np.arange(len(left[start : start + step]) * len(right)), len(right))
                 p += start
@@ -350,6 +353,8 @@ def block_pairs(group: pa.Table, least: tuple[int, int] = LEAST) -> pa.Table:
                 small, large = np.minimum(n[left[p]], n[right[q]]), np.maximum(n[left[p]], n[right[q]])
                 fit &= least[1] * small >= least[0] * large
                 p, q = p[fit], q[fit]
+                if not len(p):
+                    continue
                 keep = may_overlap(x[p], y[q], n[left[p]], n[right[q]], least)
                 a, b = name[left[p[keep]]], name[right[q[keep]]]
                 found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))

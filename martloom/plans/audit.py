@@ -27,6 +27,8 @@ def started(runs: DataFrame, run: RunContext) -> DataFrame:
         "start_time": run.now,
         "status": F.lit(RUNNING),
         "run_date": run.day,
+        "created_at": run.now,
+        "updated_at": run.now,
         **{name: F.lit(value) for name, value in run.parameters.items() if name in JOB_AUDIT_LOG.names},
     }
     lacking = {name: value for name, value in defaults.items() if name not in runs.columns}
@@ -46,6 +48,8 @@ def completed(counts: DataFrame, run: RunContext, ended: datetime) -> DataFrame:
             "target_updates": F.lit(0),
             "execution_duration_seconds": seconds_between(run.now, end),
             "run_date": run.day,
+            "created_at": run.now,
+            "updated_at": end,
             **{name: F.lit(value) for name, value in run.parameters.items() if name in JOB_AUDIT_LOG.names},
         }
     )
@@ -60,6 +64,7 @@ def failed_row(spark: SparkSession, run: RunContext, ended: datetime, message: s
             "status": F.lit(FAILED),
             "execution_duration_seconds": seconds_between(run.now, end),
             "error_message": F.lit(message),
+            "updated_at": end,
         }
     )
     return conform(row, JOB_AUDIT_LOG)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.context import RunContext
+from martloom.operators.numbering import next_key, number_rows
 
 # Name, value, type, description. The run date's value is filled in per run.
 DEFAULTS = (
@@ -46,6 +47,7 @@ def absent(incoming: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def merged(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """The table after the insert."""
-    columns = [c for c in existing.columns if c in incoming.columns]
-    return existing.select(*columns).unionByName(absent(incoming, existing).select(*columns))
+    """The table after the insert. New parameters get ids after the largest stored one."""
+    new = number_rows(absent(incoming, existing), "parameter_id", after=next_key(existing, "parameter_id"))
+    columns = [c for c in existing.columns if c in new.columns]
+    return existing.select(*columns).unionByName(new.select(*columns))

@@ -132,7 +132,7 @@ FROM customer_dim WHERE customer_id % 13 <> 0""",
     "job_parameters": (
         (),
         """
-SELECT 'JOB_' || CAST(c_custkey AS VARCHAR) AS job_name, 'commit_batch' AS parameter_name,
+SELECT c_custkey + 1 AS parameter_id, 'JOB_' || CAST(c_custkey AS VARCHAR) AS job_name, 'commit_batch' AS parameter_name,
   CAST(c_custkey * 10 AS VARCHAR) AS parameter_value, 'INTEGER' AS parameter_type,
   'kept as set' AS description, true AS is_active
 FROM customer WHERE c_custkey % 3 = 0""",

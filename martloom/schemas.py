@@ -79,7 +79,7 @@ JOB_AUDIT_LOG = _fields(
     "batch_id STRING, job_name STRING, start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, status STRING, "
     "source_count BIGINT, target_inserts BIGINT, target_updates BIGINT, reject_count BIGINT, "
     "execution_duration_seconds BIGINT, run_date DATE, source_connection STRING, target_connection STRING, "
-    "log_path STRING, error_message STRING",
+    "log_path STRING, error_message STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ",
     frozenset({"batch_id", "job_name", "start_time", "status"}),
 )
 JOB_REJECTS = _fields(

@@ -30,28 +30,26 @@ def jdbc_due_policies(
     spark: SparkSession,
     url: str,
     run_date: date,
+    key_bounds: tuple[int, int],
+    partitions: int,
+    fetch_rows: int,
     table: str = "STAGING.POLICY_SRC",
-    partitions: int = 1,
-    key_bounds: tuple[int, int] | None = None,
     **options: str,
 ) -> DataFrame:
     """The same source read from a database: the predicate is evaluated there.
 
-    With ``key_bounds`` the read is split over POLICY_ID ranges into ``partitions`` connections; rows
-    outside the bounds and null keys still arrive, in the first and last of them.
+    The read is split over POLICY_ID ranges into ``partitions`` connections, each fetching ``fetch_rows`` rows at a time;
+    rows outside the bounds and null keys still arrive, in the first and last of them.
     """
     columns = ", ".join(name.upper() for name in POLICY_SRC.names)
     query = f"SELECT {columns} FROM {table} WHERE UPDATED_DATE <= TO_DATE('{run_date.isoformat()}','YYYY-MM-DD')"
-    reader = spark.read.format("jdbc").option("url", url).options(**options)
-    if key_bounds and partitions > 1:
-        reader = (
-            reader.option("dbtable", f"({query}) due")
-            .option("partitionColumn", "POLICY_ID")
-            .option("lowerBound", key_bounds[0])
-            .option("upperBound", key_bounds[1])
-            .option("numPartitions", partitions)
-        )
-    else:
-        reader = reader.option("query", query)
-    frame = reader.load()
+    split = {
+        "dbtable": f"({query}) due",
+        "partitionColumn": "POLICY_ID",
+        "lowerBound": key_bounds[0],
+        "upperBound": key_bounds[1],
+        "numPartitions": partitions,
+        "fetchsize": fetch_rows,
+    }
+    frame = spark.read.format("jdbc").option("url", url).options(**split, **options).load()
     return conform(frame.toDF(*[c.lower() for c in frame.columns]), POLICY_SRC)

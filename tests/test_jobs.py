@@ -136,7 +136,7 @@ def test_table_sources(spark, tmp_path):
 
 def test_database_source_reports_a_missing_driver(spark):
     with pytest.raises(Exception, match="(?i)driver"):
-        jdbc_due_policies(spark, "jdbc:nodb://nowhere/x", datetime(2024, 1, 1).date())
+        jdbc_due_policies(spark, "jdbc:nodb://nowhere/x", datetime(2024, 1, 1).date(), (1, 1000), 4, 500)
 
 
 def test_run_on_empty_sources(spark, tmp_path):

@@ -43,7 +43,9 @@ CASES = [
     ("transactions", "invoice_date", "2023-05-25", "REJECT: Invalid invoice_date format", False),
     ("transactions", "invoice_date", " 12 ", "VALID", True),
     ("transactions", "invoice_date", "", "REJECT: Invalid invoice_date format", False),
-    ("transactions", "invoice_date", "12.7", "REJECT: Invalid invoice_date format", False),
+    ("transactions", "invoice_date", "12.7", "VALID", True),
+    ("transactions", "invoice_date", "1e3", "VALID", True),
+    ("transactions", "invoice_date", "12.7.1", "REJECT: Invalid invoice_date format", False),
     ("transactions", "invoice_date", "99999999999", "REJECT: Invalid invoice_date format", False),
     ("transactions", "invoice_date", None, "REJECT: Invalid invoice_date format", False),
     ("transactions", "quantity", 0, "REJECT: Invalid quantity (must be positive)", False),
