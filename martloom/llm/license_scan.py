@@ -6,8 +6,11 @@ as class `unknown`. Its probabilities are calibrated by a temperature, chosen on
 fit. A paragraph is of a family if that family's calibrated probability is high enough, else unknown; a family is
 confirmed if the paragraph has most word pairs of one of its notices.
 
-The penalty of the fit makes most weights zero, and only the others are looked up. The model is one row, as large as the
-notices, that every paragraph meets in a broadcast join, so a paragraph is scored where it is read.
+Its vocabulary has no words that the corpus's paragraphs have everywhere. The penalty of the fit makes most weights zero,
+and only the others are looked up. Texts and lines are left out first that have none of the words without which the
+weights of all others together cannot lift a family to the probability it needs: they are unknown by the weights, not by
+a guess. The model is one row, as large as the notices, that every other paragraph meets in a broadcast join, so a
+paragraph is scored where it is read.
 
 A paragraph is a line, or neighbouring lines that are confirmed together, as a wrapped notice is. Such lines are found by
 the notices' pairs, of which each has one, also across its end, and none is without a letter or digit. There are at most
@@ -23,6 +26,8 @@ knows the notices alone.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -99,7 +104,7 @@ UNKNOWN = "unknown"
 PARAGRAPHS = 500
 LEAST_PROBABILITY = 0.6
 #: The penalty on absolute weights.
-SPARSE = 1e-3
+SPARSE = 5e-4
 #: Share of a notice's word pairs that a paragraph of its family has, to be confirmed.
 LEAST_SHARED = 0.75
 _TOKEN = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -165,7 +170,11 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", paragraph
     own = [r["line"] for r in rows.orderBy("place", "line").limit(paragraphs).collect()]
     families = [*NOTICES, UNKNOWN]
     examples = [*_examples(), *((UNKNOWN, x) for x in (*OTHER, "", *own))]
-    vocabulary = sorted({g for f, x in examples if f != UNKNOWN for w in [_words(x)] for g in (*w, *_pairs(w))})
+    # Words that the corpus's paragraphs have everywhere tell no family, nor do pairs of such words.
+    seen = Counter(w for x in own for w in set(_words(x)))
+    telling = {w for f, x in examples if f != UNKNOWN for w in _words(x) if (len(w) > 1 or w.isdigit()) and 100 * seen[w] < max(200, len(own))}
+    grams = {g for f, x in examples if f != UNKNOWN for w in [_words(x)] for g in (*w, *_pairs(w))}
+    vocabulary = sorted(g for g in grams if telling & set(g.split(" ")))
     column = {g: k for k, g in enumerate(vocabulary)}
     x = np.zeros((len(examples), len(vocabulary)))
     for k, (_, example) in enumerate(examples):
@@ -184,6 +193,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", paragraph
         "weights": w[used].round(6),
         "bias": bias.round(6),
         "temperature": temperature,
+        "telling": sorted(telling),
     }
 
 
@@ -200,10 +210,33 @@ def anchors() -> list[str]:
 
 
 def _has(lower: Column, words: list[str]) -> Column:
-    found = F.lit(False)
-    for w in words:
-        found = found | F.contains(lower, F.lit(w))
-    return found
+    """Whether the text has one of the words. As an element of an array it is worked out once, not once a word."""
+    return F.exists(F.array(lower), lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in words], F.lit(False)))
+
+
+def deciding_words(model: dict) -> list[str]:
+    """Words of which every text of a known family has one.
+
+    A family needs the probability LEAST_PROBABILITY, and so a lead over `unknown`. As many words and pairs as possible,
+    those named by short words first, are set aside such that all of them together give no family that lead; each text of
+    a known family has one of the others, and so the longest telling word of it.
+    """
+    families, weights, bias = model["families"], np.asarray(model["weights"]), np.asarray(model["bias"])
+    unknown = families.index(UNKNOWN)
+    lead = np.delete(weights - weights[:, [unknown]], unknown, axis=1)
+    room = model["temperature"] * np.log(LEAST_PROBABILITY / (1 - LEAST_PROBABILITY)) - np.delete(bias - bias[unknown], unknown)
+    if (room <= 0).any():
+        return [""]
+    telling = set(model["telling"])
+    word = [max(telling & set(g.split(" ")), key=lambda w: (len(w), w)) for g in model["vocabulary"]]
+    spent, out = np.zeros(len(room)), set()
+    for k in sorted(range(len(word)), key=lambda k: (len(word[k]) > 3, lead[k].max())):
+        gain = np.maximum(lead[k], 0)
+        if (spent + gain < room).all():
+            spent += gain
+        else:
+            out.add(word[k])
+    return sorted(w for w in out if not any(v != w and v in w for v in out))
 
 
 def needed_words() -> list[str]:
@@ -328,16 +361,18 @@ def scan(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text
 
     paragraph counts from 0; shared is the largest share of a notice's word pairs that the paragraph has.
     """
-    own = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
+    deciding = deciding_words(model)
+    own = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")).filter(_has(F.lower("text"), deciding))
     may_wrap = _has(F.lower("text"), needed_words())
     lines = F.posexplode(F.split("text", "\n")).alias("paragraph", "line")
-    plain = _classified(own.filter(~may_wrap).select("doc_id", lines), model)
+    plain = own.filter(~may_wrap).select("doc_id", lines).filter(_has(F.lower("line"), deciding))
+    plain = _classified(plain, model)
     # Written once, so that a text keeps its number.
     texts = own.filter(may_wrap).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("text", "\n").alias("lines"))
     texts = held(texts, "licence-texts")
     key = ["row", "paragraph", "size"]
     single = texts.select("row", F.posexplode("lines").alias("paragraph", "line")).withColumn("size", F.lit(1))
-    single = held(_classified(single, model), "licence-lines")
+    single = held(_classified(single.filter(_has(F.lower("line"), deciding)), model), "licence-lines")
     cover = F.expr("array_join(slice(lines, paragraph + 1, size), '\n')").alias("line")
     joined = texts.join(_wrapped(texts), "row").select(*key, cover)
     wrapped = held(_classified(joined, model).filter(F.col("shared") >= LEAST_SHARED), "licence-wraps")

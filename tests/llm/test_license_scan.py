@@ -77,9 +77,10 @@ def test_notices_wrapped_over_many_lines(documents):
     df = documents(texts + [x + "\n\n" + x for x in texts])
     rows = m.scan(df, m.train(df.limit(0))).filter("confirmed").collect()
     assert {(r.doc_id, r.family) for r in rows} == {(k, f) for k in range(2 * len(texts)) for f in [notices[k % len(texts)][0]]}
-    # The long Apache notice begins with a short one, which is the better finding; what follows it is another.
-    once = [f for f, _ in notices if f != "Apache-2.0"]
-    assert len([r for r in rows if r.family != "Apache-2.0"]) == 3 * len(once)
+    # One long notice begins with a short one, which is the better finding; what follows it is another.
+    twice = "All rights reserved"
+    assert len([r for r in rows if r.family != twice]) == 3 * len([f for f, _ in notices if f != twice])
+    assert len([r for r in rows if r.family == twice]) == 6
     assert max(r.text.count("\n") for r in rows) > 35
 
 
