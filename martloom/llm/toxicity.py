@@ -29,19 +29,19 @@ from martloom.llm.common import held, text_of
 
 #: Labelled documents learned from at most, those with the smallest hashes.
 TRAINING_ROWS = 12_000
-#: Terms of the lexicon at most.
-TERMS = 3000
-#: Contexts that a term has in toxic texts at least: so many, and so many for each toxic text learned from. The rarest
-#: words of toxic texts are there by chance.
+#: Contexts that a term has in toxic texts at least, and texts that it has them in: so many, and so many for each toxic
+#: text learned from. The rarest words of toxic texts are there by chance, as are those that one text repeats.
 LEAST_CONTEXTS, LEAST_SHARE = 3, 0.005
 LEAST_RATIO = 8.0
+#: Share of the terms that may be there by chance.
+FALSE_TERMS = 0.1
 #: Letters from which a term may be misspelled.
 LEAST_LETTERS = 5
 TOXIC_FROM = 0.7
 WINDOW = 60
 _WORD = re.compile(r"[^\W_]+")
-_LONGEST = 40
-_CACHED = 400_000
+#: Words that a task remembers its judgement of, and letters of the longest of them.
+_CACHED, _CACHED_LETTERS = 400_000, 40
 _OPENING, _CLOSING = "\"“„«‹‘'", "\"”“»›’'"
 _REPORTING = re.compile(
     r"\b(?:quot\w*|said|says|wrote|writes|called|calls|claim\w*|report\w*|zitier\w*|sagte|schrieb|nannte|dit|écrit|cité\w*|dijo|citó|escribió)\b"
@@ -140,11 +140,12 @@ class Finder:
         """0: no hit, 1: a term, 2: a misspelled term."""
         found = self.known.get(word)
         if found is None:
-            hit = self.automaton.find(word) if len(word) <= _LONGEST else None
+            hit = self.automaton.find(word)
             found = 0 if hit is None or (hit[1] and word in self.clean) else 1 if hit[1] == 0 else 2
             if len(self.known) >= _CACHED:
                 self.known.clear()
-            self.known[word] = found
+            if len(word) <= _CACHED_LETTERS:
+                self.known[word] = found
         return found
 
     def hits(self, text: str) -> list[tuple[int, int, bool, bool]]:
@@ -175,7 +176,7 @@ def features(finder: Finder, text: str) -> list[float]:
     counts = [0, 0, 0, 0]
     for _, _, misspelled, quoted in finder.hits(text.lower()):
         counts[2 * quoted + misspelled] += 1
-    return [1.0, *(float(np.log2(1 + min(n, 7))) for n in counts)]
+    return [1.0, *(float(np.log2(1 + n)) for n in counts)]
 
 
 def _texts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -186,21 +187,27 @@ def _texts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.Reco
 
 
 def _contexts(train: DataFrame) -> DataFrame:
-    """(word, toxic, clean): of how many different words before it each word comes after, by label."""
+    """(word, toxic, clean, texts): after how many different words each word comes, by label, and in how many different
+    toxic texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _texts(batches, 1):
+            labels, places = part.column(0).to_pylist(), part.column(2).to_pylist()
             rows = [
-                (word, before, label)
-                for label, text in zip(part.column(0).to_pylist(), texts, strict=True)
-                for before, word in set(pairwise(["", *(w for w in _WORD.findall(text.lower()) if len(w) <= _LONGEST)]))
+                (word, before, label, place)
+                for label, place, text in zip(labels, places, texts, strict=True)
+                for before, word in set(pairwise(["", *_WORD.findall(text.lower())]))
             ]
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "before", "toxic"])
+            types = (pa.string(), pa.string(), pa.int32(), pa.int64())
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "before", "toxic", "place"])
 
-    pairs = train.select("toxic", "text").mapInArrow(run, "word string, before string, toxic int")
+    own = train.select("toxic", "text", F.xxhash64("text").alias("place"))
+    pairs = own.mapInArrow(run, "word string, before string, toxic int, place bigint")
     once = pairs.groupBy("word", "before").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("least"))
-    return once.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("least")).alias("clean"))
+    once = once.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("least")).alias("clean"))
+    texts = pairs.filter("toxic = 1").select("word", "place").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+    return once.join(texts, "word", "left").withColumn("texts", F.coalesce("texts", F.lit(0)))
 
 
 def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -223,11 +230,23 @@ def train(docs: DataFrame, labels: DataFrame, usable: F.Column, rows: int = TRAI
     own = held(own.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows).select("doc_id", F.col("toxic").cast("int").alias("toxic")), "labels")
     train = docs.select("doc_id", text_of("text").alias("text")).join(F.broadcast(own), "doc_id")
     counts = held(_contexts(train), "contexts")
-    total = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
+    total = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count(F.lit(1)).alias("words")).first()
     odds = F.col("toxic") / float(total["toxic"] or 1) / ((F.col("clean") + 1) / float(total["clean"] or 1))
     toxic_rows = own.agg(F.sum("toxic")).first()[0] or 0
-    likely = (F.col("toxic") >= max(LEAST_CONTEXTS, LEAST_SHARE * toxic_rows)) & (odds >= LEAST_RATIO) & (F.length("word") >= 3)
-    terms = [r["word"] for r in counts.filter(likely).orderBy(F.desc("toxic"), "word").limit(TERMS).collect()]
+    seen = F.least("toxic", "texts")
+    enough = seen >= max(LEAST_CONTEXTS, LEAST_SHARE * toxic_rows)
+    # Chernoff's bound of the logarithm of how likely a word is to be this toxic if labels have nothing to do with words.
+    base = min(0.99, max(1e-9, (total["toxic"] or 0) / ((total["toxic"] or 0) + (total["clean"] or 0) or 1)))
+    share = seen / (seen + F.col("clean"))
+    calm = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    surprise = (seen + F.col("clean")) * (share * F.log(share / base) + calm)
+    likely = enough & (share > base) & (odds >= LEAST_RATIO) & (F.length("word") >= 3)
+    # Words of at most `rows` texts. As many of the most surprising as leave a tenth of them to chance (Benjamini-Hochberg).
+    found = counts.filter(likely).select("word", "toxic", surprise.alias("s")).orderBy(F.desc("s"), "word").collect()
+    bounds = np.log((total["words"] or 1) / (FALSE_TERMS * np.arange(1, len(found) + 1)))
+    good = np.flatnonzero(np.array([r["s"] for r in found]) >= bounds)
+    found = found[: good[-1] + 1] if len(good) else []
+    terms = [r["word"] for r in sorted(found, key=lambda r: (-r["toxic"], r["word"]))]
 
     def misspellings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, terms_too = Automaton(terms), set(terms)
