@@ -51,7 +51,8 @@ def mart_v3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("mart_clustered_write", S.mart(S.STRICT, S.STAMP))
 def mart_clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "mart")
-    refresh_path(clustered(mart_v3(spark, sf_dir), ["invoice_date", "customer_id"]), path)
+    fact = retail.with_integer_date(T.transactions_fact(spark, sf_dir))
+    refresh_path(clustered(mart_v3(spark, sf_dir), ["invoice_date", "customer_id"], like=fact), path)
     return spark.read.parquet(path)
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.context import RunContext
 from martloom.operators.numbering import next_key, number_rows
-from martloom.plans import audit, customer_audit, policy_store, rejects, retail, scd2
+from martloom.plans import audit, customer_audit, policy_store, quality, rejects, retail, scd2
 from martloom.plans.dimension_changes import dimension_changes
 from martloom.sinks.delimited import write_delimited
 from martloom.sinks.tables import append_rows, clustered, drop_partition, read_table, refresh_path, replace_batch
@@ -34,10 +34,10 @@ FILE_LAYOUTS = {
 }
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` with its rows counted on the way to wherever it is written."""
+def counted(df: DataFrame, name: str, tallies: Sequence[Column] = ()) -> tuple[DataFrame, Observation]:
+    """``df`` with its rows counted, or with other tallies taken, on the way to wherever it is written."""
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, *(tallies or [F.count(F.lit(1)).alias("rows")])), seen
 
 
 # --- file jobs ---------------------------------------------------------------------------------------------
@@ -79,7 +79,8 @@ def run_retail_mart(
     customer changes and cluster the mart; 2 counts the transactions of the run date, 3 counts all.
 
     Every step can be repeated: the mart is refreshed, rejects and change records of the batch are replaced, and
-    audit rows are appended, of which the latest counts. Row counts are observed while the rows are written.
+    audit rows and metrics are appended, of which the latest count. Row counts and the mart's declared tests are observed
+    while it is written, so it is worked out once; the tests of the sources have scans of their own.
     """
     log = _table(root, "job_audit_log")
     append_rows(audit.started_row(spark, run), log, schemas.JOB_AUDIT_LOG)
@@ -87,17 +88,18 @@ def run_retail_mart(
         if version == 1:
             mart, counted_source = retail.mart_v1(sources), retail.staged_v1(sources)["transactions"]
         else:
-            # Counted after the range partitioning, which reads its input once more to sample it.
             built = retail.mart_v2(sources, run) if version == 2 else retail.mart_v3(sources, run)
-            mart = clustered(built, ["invoice_date", "customer_id"])
             everything = sources["transactions"]
+            mart = clustered(built, ["invoice_date", "customer_id"], like=retail.with_integer_date(everything))
             counted_source = retail.dated_on(everything, run.run_date) if version == 2 else everything
-        mart, loaded = counted(mart, "loaded")
+        mart, loaded = counted(mart, "loaded", quality.mart_tallies(version))
         refresh_path(mart, _table(root, "retail_data_mart"))
         rejected_rows = 0 if version == 1 else store_rejects(spark, sources, root, run)
         totals = counted_source.agg(F.count(F.lit(1)).alias("source_count")).withColumns(
             {"target_inserts": F.lit(loaded.get["rows"]), "reject_count": F.lit(rejected_rows)}
         )
+        results = quality.mart_results(spark, version, loaded.get)
+        quality.store_metrics(sources, _table(root, "data_quality_metrics"), run, [results])
         append_rows(audit.completed(totals, run, clock()), log, schemas.JOB_AUDIT_LOG)
         if version > 1:
             record_customer_changes(spark, sources["customer"], root, run)
@@ -107,14 +109,11 @@ def run_retail_mart(
 
 
 def store_rejects(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run: RunContext) -> int:
-    """Put this batch's rejects, with ids after all others', in place of those it may already have; returns how many
-    there are."""
+    """Put this batch's rejects in place of those it may already have; returns how many there are. A rerun gives them
+    the ids that they had, where their number has not grown into those of a later batch."""
     path = _table(root, "job_rejects")
-    others = None
-    if path_exists(spark, path):
-        own = (F.col("job_name") == run.job_name) & (F.col("batch_id") == run.batch_id)
-        others = read_table(spark, path, schemas.STORED_REJECTS).filter(~own)
-    bad, rejected = counted(rejects.with_reject_ids(rejects.retail_rejects(sources, run), others), "rejected")
+    stored = read_table(spark, path, schemas.STORED_REJECTS) if path_exists(spark, path) else None
+    bad, rejected = counted(rejects.with_reject_ids(rejects.retail_rejects(sources, run), stored, run), "rejected")
     replace_batch(bad, path, schemas.STORED_REJECTS)
     rows = rejected.get["rows"]
     if rows == 0:

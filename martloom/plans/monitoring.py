@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions import not_older_than, percent, seconds_between
@@ -60,3 +60,26 @@ def data_quality_summary(metrics: DataFrame, run_ts: datetime, days: int = 7) ->
             F.max("check_timestamp").alias("last_check_time"),
         )
     )
+
+
+def create_views(spark: SparkSession, log: str, metrics: str, run_ts: datetime | None = None) -> None:
+    """The three views as catalog objects over the stored control tables, by the names of the functions above.
+
+    They look back from ``run_ts``, or from whenever they are queried.
+    """
+    now = "current_timestamp()" if run_ts is None else f"TIMESTAMP_NTZ '{run_ts.isoformat(sep=' ')}'"
+    since = lambda days: f"{now} - INTERVAL {days} DAYS"
+    tally = lambda status, name: f"count_if(status <=> '{status}') AS {name}"
+    bodies = {
+        "recent_job_executions": "SELECT batch_id, job_name, start_time, end_time, "
+        "timestampdiff(SECOND, date_trunc('SECOND', start_time), date_trunc('SECOND', end_time)) AS duration_seconds, status, source_count, target_inserts, "
+        f"target_updates, error_message FROM {log} WHERE start_time >= {since(7)} ORDER BY start_time DESC",
+        "job_success_rate": "SELECT *, CAST(round(successful_runs * 100 / total_runs, 2) AS DECIMAL(18,2)) AS success_rate_pct "
+        f"FROM (SELECT job_name, count(*) AS total_runs, {tally('SUCCESS', 'successful_runs')}, "
+        f"{tally('FAILED', 'failed_runs')} FROM {log} WHERE start_time >= {since(30)} GROUP BY job_name)",
+        "data_quality_summary": f"SELECT table_name, metric_name, count(*) AS total_checks, {tally('PASS', 'passed_checks')}, "
+        f"{tally('FAIL', 'failed_checks')}, {tally('WARNING', 'warning_checks')}, max(check_timestamp) AS last_check_time "
+        f"FROM {metrics} WHERE check_timestamp >= {since(7)} GROUP BY table_name, metric_name",
+    }
+    for name, body in bodies.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.context import RunContext
@@ -12,7 +13,7 @@ from martloom.operators import checks
 from martloom.plans.validation import CUSTOMER_TYPES, source_rules
 from martloom.schemas import DATA_QUALITY_METRICS
 from martloom.sinks.tables import append_rows, read_table
-from martloom.sources.files import existing_paths
+from martloom.sources.files import delete_path, existing_paths
 from martloom.workspace import scratch_path
 
 # Which columns must be filled, per source table and per mart version.
@@ -126,6 +127,30 @@ def declared_results(sources: Mapping[str, DataFrame]) -> DataFrame:
     return results.join(checked, "table_name")
 
 
+# The declared tests of each mart version: its name in metrics, columns that must be filled, and whether
+# the customer type must be an accepted one.
+MART_TESTS = {
+    1: ("MART_V1", MART_V1_NOT_NULL, False),
+    2: ("MART_V2", MART_V2_NOT_NULL, True),
+    3: ("MART_V3", MART_V3_NOT_NULL, True),
+}
+
+
+def mart_tallies(version: int) -> list[Column]:
+    """Rows, and rows that fail each declared test of a mart version, to be observed while the mart is written."""
+    _, columns, typed = MART_TESTS[version]
+    tallies = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"not_null_{c}") for c in columns]]
+    if typed:
+        tallies.append(F.count_if(~F.col("customertype").isin(*CUSTOMER_TYPES)).alias("accepted_values_customertype"))
+    return tallies
+
+
+def mart_results(spark: SparkSession, version: int, tallied: Mapping[str, int]) -> DataFrame:
+    """(table_name, metric_name, failures, checked) from what was tallied of a mart."""
+    rows = [(MART_TESTS[version][0], name, n, tallied["rows"]) for name, n in tallied.items() if name != "rows"]
+    return spark.createDataFrame(rows, "table_name string, metric_name string, failures bigint, checked bigint")
+
+
 def metric_rows(results: DataFrame, run: RunContext, tolerated_share: float = 0.01) -> DataFrame:
     """Metric rows from test results with table_name, metric_name, checked and failures.
 
@@ -145,14 +170,17 @@ def metric_rows(results: DataFrame, run: RunContext, tolerated_share: float = 0.
     )
 
 
-def store_metrics(sources: Mapping[str, DataFrame], path: str, run: RunContext) -> None:
-    """Append the results of a run's tests to the metrics table. Ids follow the table's, in the order of table and metric."""
+def store_metrics(sources: Mapping[str, DataFrame], path: str, run: RunContext, marts: Sequence[DataFrame] = ()) -> None:
+    """Append the results of a run's tests, of its sources and of its marts, to the metrics table. Ids follow the table's,
+    in the order of table and metric."""
     spark = next(iter(sources.values())).sparkSession
     scratch = scratch_path(spark, "metrics")
-    metric_rows(declared_results(sources), run).write.parquet(scratch)
+    results = reduce(DataFrame.unionByName, marts, declared_results(sources).select("table_name", "metric_name", "failures", "checked"))
+    metric_rows(results, run).write.parquet(scratch)
     rows = spark.read.parquet(scratch)
-    # One row a declared test, some twenty, whatever the tables hold.
+    # One row a declared test, some forty, whatever the tables hold.
     order = Window.orderBy("table_name", "metric_name")
     stored = read_table(spark, path, DATA_QUALITY_METRICS) if existing_paths(spark, [path]) else None
     last = stored.agg(F.max("metric_id")).first()[0] or 0 if stored is not None else 0
     append_rows(rows.withColumn("metric_id", F.row_number().over(order) + F.lit(last).cast("bigint")), path, DATA_QUALITY_METRICS)
+    delete_path(spark, scratch)

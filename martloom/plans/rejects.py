@@ -41,11 +41,22 @@ def retail_rejects(sources: Mapping[str, DataFrame], run: RunContext) -> DataFra
     return reduce(DataFrame.unionByName, parts).select(*JOB_REJECTS.names)
 
 
-def with_reject_ids(rejects: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Reject records with the next consecutive ids and their creation time, for a table that keeps them.
+def with_reject_ids(rejects: DataFrame, stored: DataFrame | None = None, run: RunContext | None = None) -> DataFrame:
+    """Reject records with consecutive ids and their creation time, for a table that keeps them.
 
-    ``stored`` is that table; its largest id is where the new ones start. Equal records get ids of their own. Ids
-    depend on the records and the stored ids alone, so a rerun gives the same ones.
+    ``stored`` is that table. Ids start where those of the run's batch start, if it is stored and its new records have
+    room there, else after the largest of other batches. Equal records get ids of their own. Ids depend on the records and
+    the stored ids alone, so a rerun gives the same ones, whatever batches came in between.
     """
-    after = next_key(stored, "reject_id") if stored is not None else 0
-    return number_rows(rejects, "reject_id", after=after).withColumn("created_at", F.col("reject_time"))
+    numbered = number_rows(rejects, "reject_id")
+    if stored is None:
+        return numbered.withColumn("created_at", F.col("reject_time"))
+    own = F.lit(False) if run is None else (F.col("job_name") == run.job) & (F.col("batch_id") == run.batch)
+    first = stored.agg(F.min(F.when(own, F.col("reject_id"))).alias("first"))
+    ids = stored.filter(~own)
+    # The next id that another batch has after this batch's first.
+    after_own = ids.filter(F.col("reject_id") > first.scalar()).agg(F.min("reject_id"))
+    room = F.coalesce(after_own.scalar(), F.lit(2**62)) - first.scalar()
+    fits = F.coalesce(numbered.agg(F.max("reject_id")).scalar() <= room, F.lit(False))
+    base = F.when(fits, first.scalar() - 1).otherwise(next_key(ids, "reject_id"))
+    return numbered.withColumn("reject_id", F.col("reject_id") + base).withColumn("created_at", F.col("reject_time"))

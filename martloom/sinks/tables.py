@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,13 +22,49 @@ def refresh_path(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def clustered(df: DataFrame, keys: Sequence[str], split_copies: bool = False) -> DataFrame:
+#: Quantiles of the second key, by which the rows of a hot first key are dealt out.
+_FINE = 64
+
+
+def _below(bounds: Column, value: Column, size: int, also_equal: bool) -> Column:
+    """How many of the sorted bounds are below the value (or equal to it): among every step-th bound, then between two."""
+    step = max(1, math.isqrt(size))
+    less = (lambda x: x <= value) if also_equal else (lambda x: x < value)
+    coarse = F.filter(bounds, lambda x, k: (F.pmod(k + 1, F.lit(step)) == 0) & less(x))
+    done = F.size(coarse) * step
+    return done + F.size(F.filter(F.slice(bounds, done + 1, step), less))
+
+
+def range_ids(df: DataFrame, like: DataFrame, keys: Sequence[str], parts: int) -> Column:
+    """The range of a row among ``parts``, by two numeric keys whose quantiles are taken from ``like``.
+
+    The quantiles come from one pass over the two columns of ``like`` alone; there is one number a range. A first key that
+    several ranges hold is dealt out to them by the second, and a second key that several quantiles hold by a hash of the
+    row. Null keys come first.
+    """
+    first, second = keys
+    cuts = [F.percentile_approx(key, [k / n for k in range(1, n)] or [1.0], 100 * n) for key, n in ((first, parts), (second, _FINE))]
+    outer, inner = (F.lit([] if q is None else q[: n - 1]).cast("array<double>") for q, n in zip(like.agg(*cuts).first(), (parts, _FINE)))
+    low, high = (F.coalesce(_below(outer, F.col(first), parts, equal), F.lit(0)) for equal in (False, True))
+    low2, high2 = (F.coalesce(_below(inner, F.col(second), _FINE, equal), F.lit(0)) for equal in (False, True))
+    fine = low2 + F.pmod(F.xxhash64(*df.columns), high2 - low2 + 1)
+    return (low + F.floor(fine * (high - low + 1) / _FINE)).cast("int")
+
+
+def clustered(df: DataFrame, keys: Sequence[str], split_copies: bool = False, like: DataFrame | None = None) -> DataFrame:
     """Range-partition and sort by the keys, so that row-group statistics let scans skip by them.
 
     A hash of the whole row follows the keys in the range order: a key value that holds a large share of the
     rows is then cut across tasks. Equal rows cannot be cut that way; ``split_copies`` also spreads those, for
     one more shuffle.
+
+    Spark samples what it partitions by range, which works ``df`` out twice. With ``like``, a cheaper frame with two
+    numeric keys that are distributed alike, as a fact before its joins, its quantiles are the bounds and ``df`` is worked
+    out once.
     """
+    if like is not None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartitionById(parts, range_ids(df, like, keys, parts)).sortWithinPartitions(*keys)
     spread = F.xxhash64(*df.columns)
     if split_copies:
         packed = collapse_copies(df)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom import schemas
 from martloom.context import RETAIL_JOB, RunContext
-from martloom.plans import audit, jobs, rejects, retail
+from martloom.plans import audit, jobs, monitoring, quality, rejects, retail
 from martloom.samples import tables as T
 from martloom.sinks.delimited import write_delimited
 from martloom.sinks.tables import read_table, refresh_table
@@ -37,6 +37,10 @@ def test_audited_mart_run_and_rerun(spark, tmp_path):
             "SUCCESS_WITH_REJECTS", 6000, 2290, expected_rejects)
         assert last["execution_duration_seconds"] == 42
         assert read_table(spark, f"{root}/job_rejects", schemas.JOB_REJECTS).count() == expected_rejects
+        metrics = read_table(spark, f"{root}/data_quality_metrics", schemas.DATA_QUALITY_METRICS)
+        names = {(r["table_name"], r["metric_name"]) for r in metrics.filter("table_name LIKE 'MART%'").collect()}
+        assert names == {("MART_V3", f"not_null_{c}") for c in quality.MART_V3_NOT_NULL} | {("MART_V3", "accepted_values_customertype")}
+        assert metrics.select("metric_id").distinct().count() == metrics.count()
         changes = read_table(spark, f"{root}/customer_dim_audit", schemas.CUSTOMER_DIM_AUDIT)
         assert changes.count() == sources["customer"].count()
         assert {r["change_type"] for r in changes.select("change_type").distinct().collect()} == {"INSERT"}
@@ -216,3 +220,37 @@ def test_stored_rejects_have_ids_that_a_rerun_repeats(spark, tmp_path):
     assert sorted(i for _, i in before) == list(range(1, 2 * n + 1))
     jobs.store_rejects(spark, sources, str(tmp_path), second)
     assert stored() == before
+
+
+def test_rejects_of_a_rerun_keep_their_ids_after_a_later_batch(spark, tmp_path):
+    sources = T.retail_sources(spark, SF)
+    first, second = (RunContext.start(RETAIL_JOB, datetime(2024, 1, d)) for d in (1, 2))
+    rows = lambda: sorted(map(tuple, read_table(spark, f"{tmp_path}/job_rejects", schemas.STORED_REJECTS).collect()))
+    n = jobs.store_rejects(spark, sources, str(tmp_path), first)
+    jobs.store_rejects(spark, sources, str(tmp_path), second)
+    before = rows()
+    jobs.store_rejects(spark, sources, str(tmp_path), first)
+    assert rows() == before
+    more = {**sources, "product": sources["product"].union(sources["product"])}
+    grown = jobs.store_rejects(spark, more, str(tmp_path), first)
+    ids = [r[0] for r in rows()]
+    assert grown > n and len(set(ids)) == len(ids) == n + grown
+    assert sorted(ids) == [*range(n + 1, 2 * n + 1), *range(2 * n + 1, 2 * n + grown + 1)]
+
+
+def test_views_in_the_catalog_match_the_functions(spark):
+    refresh_table(T.job_audit_log(spark, SF), "job_audit_log_table")
+    refresh_table(T.data_quality_metrics(spark, SF), "data_quality_metrics_table")
+    monitoring.create_views(spark, "job_audit_log_table", "data_quality_metrics_table", T.RUN_TS)
+    log, metrics = T.job_audit_log(spark, SF), T.data_quality_metrics(spark, SF)
+    for name, rows in (
+        ("recent_job_executions", monitoring.recent_job_executions(log, T.RUN_TS)),
+        ("job_success_rate", monitoring.job_success_rate(log, T.RUN_TS)),
+        ("data_quality_summary", monitoring.data_quality_summary(metrics, T.RUN_TS)),
+    ):
+        view = spark.table(name)
+        assert view.columns == rows.columns
+        assert sorted(map(repr, (tuple(map(str, r)) for r in view.collect()))) == sorted(map(repr, (tuple(map(str, r)) for r in rows.collect())))
+        assert view.count() > 0
+    monitoring.create_views(spark, "job_audit_log_table", "data_quality_metrics_table")
+    assert spark.table("job_success_rate").count() == 0

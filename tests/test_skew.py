@@ -10,7 +10,7 @@ from martloom import schemas
 from martloom.operators import joins, numbering
 from martloom.plans import retail, scd2
 from martloom.samples import tables as T
-from martloom.sinks.tables import clustered
+from martloom.sinks.tables import clustered, range_ids
 from tests.rows import frame
 
 ROWS = 60_000
@@ -93,6 +93,33 @@ def test_hot_invoice_date_is_spread_by_the_clustered_layout(facts):
     assert max(r["count"] for r in sizes) < ROWS / 3
 
 
+def test_clustering_by_a_fact_s_quantiles_works_the_frame_out_once(spark, facts):
+    dated = facts.withColumn("invoice_date", F.coalesce(F.col("invoice_date").try_cast("int"), F.lit(0)))
+    out = clustered(dated, ["invoice_date", "stockid"], like=dated.select("invoice_date", "stockid"))
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        out.explain()
+    assert "rangepartitioning" not in text.getvalue()
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    own = out.withColumn("p", F.spark_partition_id())
+    sizes = own.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.min("invoice_date").alias("lo"), F.max("invoice_date").alias("hi")).orderBy("p").collect()
+    assert sum(r["n"] for r in sizes) == ROWS and max(r["n"] for r in sizes) < 3 * ROWS / int(parts)
+    assert all(a["hi"] <= b["lo"] for a, b in zip(sizes, sizes[1:]))
+
+
+def test_range_ids_handle_nulls_hot_keys_and_nothing(spark):
+    df = spark.range(0, 9000).select(
+        F.when(F.col("id") % 3 != 0, (F.col("id") % 700).cast("int")).alias("a"), F.when(F.col("id") % 5 == 0, 7).otherwise(F.col("id").cast("int")).alias("b")
+    )
+    for parts in (1, 2, 7, 50):
+        ids = df.select("a", "b", range_ids(df, df, ["a", "b"], parts).alias("r"))
+        rows = ids.agg(F.min("r").alias("lo"), F.max("r").alias("hi")).first()
+        assert 0 <= rows["lo"] <= rows["hi"] < parts
+        nulls = ids.filter("a IS NULL").select("r").distinct().count()
+        assert nulls == 1
+    assert df.limit(0).select(range_ids(df, df.limit(0), ["a", "b"], 5).alias("r")).count() == 0
+
+
 def test_a_third_of_equal_rows_is_spread_when_asked(spark):
     df = spark.range(0, ROWS, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
     packed = clustered(df, ["k"], split_copies=True)
