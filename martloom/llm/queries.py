@@ -263,11 +263,11 @@ def op12_resample(spark, sf_dir):
     ), sizes AS (
         SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
     ), shared AS (
-        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
         FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
     ), links AS (
         SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-        WHERE 100 * both >= 85 * (x.n + y.n - both)
+        WHERE 100 * common >= 85 * (x.n + y.n - common)
     ), edges AS (
         SELECT a, b FROM links UNION ALL SELECT b, a FROM links
     ), reached AS (
