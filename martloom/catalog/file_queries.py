@@ -282,8 +282,9 @@ def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 6, F.concat(F.lit("\u0002 "), name, F.lit(" ")))
         .otherwise(F.concat(name, F.lit("|\t")))
     )
-    path = _stored(T.read(spark, sf_dir, "customer").select("c_custkey", odd.alias("odd")), "odd")
-    return scan_delimited(spark, path, StructType.fromDDL("c_custkey BIGINT, odd STRING"), HEADED)
+    layout = DelimitedFormat(header=True, line_breaks="escape")
+    path = _stored(T.read(spark, sf_dir, "customer").select("c_custkey", odd.alias("odd")), "odd", layout)
+    return scan_delimited(spark, path, StructType.fromDDL("c_custkey BIGINT, odd STRING"), layout)
 
 
 # --- tables ---------------------------------------------------------------------------------------------------
