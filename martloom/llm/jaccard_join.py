@@ -14,7 +14,8 @@ overlap from above. Pairs that pass are compared by an intersection of their sor
 A tile may hold a third of all documents. A task hands on one set of a tile only, beside the sets that it has found to be
 together, so that a hot tile is not gathered. In each round every tile compares its sets with one of them, the pivot,
 which then leaves the tile, and sets that are connected need no comparison any more. Rounds go on as long as they leave
-less than half of the pairs. The rest is cut into blocks of bounded size, which are compared two by two by their bitmaps; only pairs that pass leave a block.
+less than half of the pairs. The rest is cut into blocks of bounded size, which are compared two by two in the same way; a
+pair of blocks hands on as many links as connect its sets, not all that it finds.
 
 Defined results: words are split at ASCII white space after A-Z are lower-cased; a text with fewer words than a shingle is
 one shingle; a text without words, or null, has an empty set and is linked with nothing, not even its like. Shingles are
@@ -44,6 +45,8 @@ DEALS = 8
 #: Names that a task sorts before it hands them on, those of a bucket, sets of a block, and 64-bit words of bitmaps that
 #: are compared at once.
 AT_ONCE, BUCKET, BLOCK, WORDS_AT_ONCE = 1_000_000, 2_000_000, 2048, 1 << 20
+#: Bytes of the sets of a block on average.
+BLOCK_BYTES = 8_000_000
 _TOPS = [1]
 while _TOPS[-1] < 2**40:
     _TOPS.append(max(_TOPS[-1] + 1, _TOPS[-1] * 13 // 10))
@@ -328,14 +331,24 @@ def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int] = LEAST)
     return both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(exactly, "a bigint, b bigint")
 
 
-def block_pairs(group: pa.Table, least: tuple[int, int] = LEAST) -> pa.Table:
-    """(a, b): pairs of sets of a block, or of two, that are not connected and whose bitmaps leave room for the overlap.
+def block_links(group: pa.Table, least: tuple[int, int] = LEAST) -> pa.Table:
+    """(a, b): similar sets of a block, or of two, by bitmaps first and then by shingles; as many as connect all of them.
 
-    Columns: i, j, own (the block of a row), name, root, n, bits.
+    Columns: i, j, own (the block of a row), name, root, n, bits, shingles. Sets of one root are connected already.
     """
     own, name, root, n = (group.column(c).to_numpy() for c in ("own", "name", "root", "n"))
     bits = _rows_of(group.column("bits").combine_chunks())
+    sets = _rows_of(group.column("shingles").combine_chunks())
     widths = np.array([len(x) for x in bits])
+    at = np.unique(root, return_inverse=True)[1].tolist()
+    parent = list(range(len(name)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
     i, j = (int(group.column(c)[0].as_py()) for c in "ij")
     found = []
     for w in np.unique(widths):
@@ -356,20 +369,24 @@ def block_pairs(group: pa.Table, least: tuple[int, int] = LEAST) -> pa.Table:
                 if not len(p):
                     continue
                 keep = may_overlap(x[p], y[q], n[left[p]], n[right[q]], least)
-                a, b = name[left[p[keep]]], name[right[q[keep]]]
-                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+                for a, b in zip(left[p[keep]].tolist(), right[q[keep]].tolist(), strict=True):
+                    a_root, b_root = find(at[a]), find(at[b])
+                    if a_root != b_root and similar(sets[a], sets[b], least):
+                        parent[a_root] = b_root
+                        found.append((int(min(name[a], name[b])), int(max(name[a], name[b]))))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
 def _blocked(rows: DataFrame, sets: DataFrame, least: tuple[int, int], block: int) -> DataFrame:
-    """(a, b): candidates from rows (tile, name, root) of tiles with sets that are not connected."""
-    cuts = rows.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cuts"))
-    own = rows.join(cuts, "tile").join(sets.select("name", "n", "bits"), "name")
+    """(a, b): links between sets of rows (tile, name, root) of tiles with sets that are not connected."""
+    sized = rows.join(sets.select("name", "n"), "name")
+    wanted = F.greatest(F.count(F.lit(1)) / block, 8 * F.sum("n") / BLOCK_BYTES)
+    cuts = sized.groupBy("tile").agg(F.ceil(wanted).cast("int").alias("cuts"))
+    own = rows.join(cuts, "tile").join(sets.select("name", "n", "bits", "shingles"), "name")
     own = own.withColumn("own", F.pmod(F.xxhash64("name", "tile"), "cuts").cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    own = own.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "name", "root", "n", "bits")
-    return own.groupBy("tile", "i", "j").applyInArrow(lambda group: block_pairs(group, least), "a bigint, b bigint")
+    own = own.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "name", "root", "n", "bits", "shingles")
+    return own.groupBy("tile", "i", "j").applyInArrow(lambda group: block_links(group, least), "a bigint, b bigint")
 
 
 def roots(tiled: DataFrame, sets: DataFrame, least: tuple[int, int] = LEAST, block: int = BLOCK) -> DataFrame | None:
@@ -392,7 +409,7 @@ def roots(tiled: DataFrame, sets: DataFrame, least: tuple[int, int] = LEAST, blo
         tiled = held(known.join(apart.select("tile"), "tile"), "open-tiles")
         last = before is not None and left > before / 2
         if last:
-            pairs = _blocked(tiled, sets, least, block)
+            linked = _blocked(tiled, sets, least, block)
         else:
             pivot = F.min(F.struct(F.xxhash64(F.lit(turn), F.col("name")).alias("place"), "name", "root")).alias("p")
             pivots = tiled.groupBy("tile").agg(pivot)
@@ -404,7 +421,8 @@ def roots(tiled: DataFrame, sets: DataFrame, least: tuple[int, int] = LEAST, blo
             pairs = fit.select(F.least("name", "pivot").alias("a"), F.greatest("name", "pivot").alias("b"))
             # A pivot has met all others of its tile.
             tiled = met.filter("name <> pivot")
-        new = held(verified(pairs.distinct(), sets, least), "links")
+            linked = verified(pairs.distinct(), sets, least)
+        new = held(linked.distinct(), "links")
         links = new if links is None else links.union(new)
         found = held(components(links), "link-roots")
         if last:

@@ -123,7 +123,7 @@ def test_bands_cover_all_sizes():
     assert all(a < b <= max(a + 1, 1.3 * a) for a, b in pairwise(m._TOPS.tolist()))
 
 
-def test_block_pairs_leave_out_what_cannot_overlap():
+def test_block_links_are_the_similar_sets():
     rng = np.random.default_rng(6)
     own = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (40, 41, 200, 210)]
     own += [own[0][1:], np.concatenate([own[2][:-1], own[1][:3]])]
@@ -131,8 +131,11 @@ def test_block_pairs_leave_out_what_cannot_overlap():
         "i": pa.array([0] * 6, pa.int32()), "j": pa.array([0] * 6, pa.int32()), "own": pa.array([0] * 6, pa.int32()),
         "name": pa.array(range(6), pa.int64()), "root": pa.array(range(6), pa.int64()),
         "n": pa.array([len(x) for x in own], pa.int64()), "bits": pa.array([m.bitmap(np.unique(x)) for x in own], pa.binary()),
+        "shingles": pa.array([np.unique(x).tobytes() for x in own], pa.binary()),
     })
-    assert m.block_pairs(rows).to_pylist() == [{"a": 0, "b": 4}, {"a": 2, "b": 5}]
+    assert sorted(map(tuple, (r.values() for r in m.block_links(rows).to_pylist()))) == [(0, 4), (2, 5)]
+    one = rows.set_column(4, "root", pa.array([0, 1, 2, 3, 0, 2], pa.int64()))
+    assert m.block_links(one).num_rows == 0
 
 
 def test_odd_rows_and_empty_table(odd):
