@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,12 +26,14 @@ _FINE = 64
 
 
 def _below(bounds: Column, value: Column, size: int, also_equal: bool) -> Column:
-    """How many of the sorted bounds are below the value (or equal to it): among every step-th bound, then between two."""
-    step = max(1, math.isqrt(size))
-    less = (lambda x: x <= value) if also_equal else (lambda x: x < value)
-    coarse = F.filter(bounds, lambda x, k: (F.pmod(k + 1, F.lit(step)) == 0) & less(x))
-    done = F.size(coarse) * step
-    return done + F.size(F.filter(F.slice(bounds, done + 1, step), less))
+    """How many of the sorted bounds, of which there are less than size, are below the value (or equal to it): by halves."""
+    steps = F.lit([1 << k for k in reversed(range(max(1, (size - 1).bit_length())))])
+
+    def further(done: Column, step: Column) -> Column:
+        bound = F.get(bounds, done + step - 1)
+        return done + F.when(bound <= value if also_equal else bound < value, step).otherwise(0)
+
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def range_ids(df: DataFrame, like: DataFrame, keys: Sequence[str], parts: int) -> Column:

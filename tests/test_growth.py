@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.catalog import file_queries, retail_queries
 from martloom.samples import tables as T
+from martloom.sinks.tables import _below
 
 
 @pytest.fixture
@@ -47,3 +48,15 @@ def test_both_marts_of_files_and_clusters_have_the_same_fact(spark, small):
     clustered, mart = retail_queries.mart_clustered_write(spark, small), retail_queries.mart_v3(spark, small)
     assert sorted(map(str, clustered.collect())) == sorted(map(str, mart.collect()))
     assert file_queries.mart_file_job(spark, small).count() > 0
+
+
+def test_a_value_s_place_among_bounds_is_found_by_halves(spark):
+    values = spark.createDataFrame([(float(x),) for x in [*range(-2, 40), "nan", "inf"]] + [(None,)], "x double")
+    for size, bounds in ((1, []), (2, [3.0]), (7, [1.0, 1.0, 4.0, 4.0, 4.0, 30.0]), (9, [5.0] * 8), (200, [k / 6 for k in range(199)])):
+        own = F.lit(bounds).cast("array<double>")
+        for equal in (False, True):
+            place = F.coalesce(_below(own, F.col("x"), size, equal), F.lit(0))
+            naive = F.coalesce(F.size(F.filter(own, lambda b: b <= F.col("x") if equal else b < F.col("x"))), F.lit(0))
+            assert values.filter(place != naive).count() == 0
+            # A filter evaluates each bound for each row.
+            assert "filter(" not in _plan(values.select(place))
