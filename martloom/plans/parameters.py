@@ -17,10 +17,17 @@ DEFAULTS = (
     ("target_connection", "AVA_DB.PUBLIC", "STRING", "Target database connection"),
 )
 KEY = ("job_name", "parameter_name")
+#: Jobs whose parameters one task makes.
+JOBS_PER_TASK = 40_000
 
 
 def default_parameters(jobs: DataFrame, run: RunContext) -> DataFrame:
-    """The defaults for each job in ``jobs``."""
+    """The defaults for each job in ``jobs``.
+
+    Names are few bytes, so a file of many is read in one task; they are dealt out before each becomes several wide rows,
+    which that task would else hold for the next shuffle.
+    """
+    tasks = max(1, -(-jobs.count() // JOBS_PER_TASK))
     entries = F.array(
         *[
             F.struct(
@@ -32,7 +39,7 @@ def default_parameters(jobs: DataFrame, run: RunContext) -> DataFrame:
             for name, value, kind, text in DEFAULTS
         ]
     )
-    return jobs.select("job_name", F.explode(entries).alias("p")).select(
+    return jobs.select("job_name").repartition(tasks).select("job_name", F.explode(entries).alias("p")).select(
         "job_name",
         "p.*",
         F.lit(True).alias("is_active"),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.catalog import control_queries, file_queries, retail_queries
-from martloom.plans import quality
+from martloom.plans import parameters, quality
 from martloom.samples import tables as T
 from martloom.sinks.tables import _below
 
@@ -73,3 +73,12 @@ def test_a_value_s_place_among_bounds_is_found_by_halves(spark):
             assert values.filter(place != naive).count() == 0
             # A filter evaluates each bound for each row.
             assert "filter(" not in _plan(values.select(place))
+
+
+def test_parameters_of_many_jobs_are_made_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(parameters, "JOBS_PER_TASK", 100, raising=False)
+    jobs = spark.range(0, 1000, 1, 1).select(F.when(F.col("id") > 5, F.concat(F.lit("J"), "id")).alias("job_name"))
+    made = parameters.default_parameters(jobs, T.RETAIL_RUN)
+    sizes = made.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 5000 and max(r["count"] for r in sizes) <= 600
+    assert made.filter("job_name IS NULL").count() == 30
