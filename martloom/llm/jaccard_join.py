@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import components, held, text_of
+from martloom.operators.bloom import bloom_filter, may_contain, words_for
 
 WORDS = 4
 #: The least similarity as a fraction of whole numbers.
@@ -304,6 +305,12 @@ def _rows_of(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
 
 
+def among(sets: DataFrame, names: DataFrame) -> DataFrame:
+    """The sets that may have one of the names: no other is shuffled to a join by them, which decides."""
+    words = words_for(names.count())
+    return sets.filter(may_contain(bloom_filter(names, "name", words), F.col("name"), words))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
     """The pairs (a, b) whose sets are similar: first by their bitmaps, then by their shingles."""
 
@@ -321,13 +328,16 @@ def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int] = LEAST)
             own = zip(_rows_of(batch.column(2)), _rows_of(batch.column(3)), strict=True)
             yield batch.select([0, 1]).filter(pa.array([similar(x, y, least) for x, y in own], pa.bool_()))
 
-    def sided(column: str, side: str) -> DataFrame:
+    def sided(sets: DataFrame, column: str, side: str) -> DataFrame:
         names = {"bits": ["n", "bits"], "shingles": ["shingles"]}[column]
         return sets.select(F.col("name").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in names])
 
-    rough = pairs.join(sided("bits", "a"), "a").join(sided("bits", "b"), "b")
+    rough = pairs.join(sided(sets, "bits", "a"), "a").join(sided(sets, "bits", "b"), "b")
     rough = rough.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(by_bits, "a bigint, b bigint")
-    both = rough.join(sided("shingles", "a"), "a").join(sided("shingles", "b"), "b")
+    rough = held(rough, "rough-pairs")
+    # Shingles are most of the sets' bytes.
+    needed_sets = among(sets, rough.select(F.explode(F.array("a", "b")).alias("name")).distinct())
+    both = rough.join(sided(needed_sets, "shingles", "a"), "a").join(sided(needed_sets, "shingles", "b"), "b")
     return both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(exactly, "a bigint, b bigint")
 
 
@@ -382,7 +392,8 @@ def _blocked(rows: DataFrame, sets: DataFrame, least: tuple[int, int], block: in
     sized = rows.join(sets.select("name", "n"), "name")
     wanted = F.greatest(F.count(F.lit(1)) / block, 8 * F.sum("n") / BLOCK_BYTES)
     cuts = sized.groupBy("tile").agg(F.ceil(wanted).cast("int").alias("cuts"))
-    own = rows.join(cuts, "tile").join(sets.select("name", "n", "bits", "shingles"), "name")
+    left = among(sets, rows.select("name").distinct())
+    own = rows.join(cuts, "tile").join(left.select("name", "n", "bits", "shingles"), "name")
     own = own.withColumn("own", F.pmod(F.xxhash64("name", "tile"), "cuts").cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     own = own.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "name", "root", "n", "bits", "shingles")

@@ -147,3 +147,11 @@ def test_odd_rows_and_empty_table(odd):
     assert {(r.n_shingles, r.component_id) for r in rows if r.doc_id is None} == {(1, None), (0, None)}
     assert {r.doc_id: r.n_shingles for r in rows if r.doc_id in (5, 6, 8)} == {5: 1, 6: 1, 8: 3}
     assert m.groups(odd.limit(0)).count() == 0
+
+
+def test_sets_that_no_pair_needs_are_left_out_before_the_join(spark):
+    sets = spark.range(2000).selectExpr("xxhash64(id) AS name", "id AS n")
+    names = sets.filter("n % 100 = 7").select("name")
+    own = {r.n for r in m.among(sets, names).collect()}
+    assert {r.n for r in sets.join(names, "name").collect()} <= own and len(own) < 200
+    assert m.among(sets, names.limit(0)).count() == 0
