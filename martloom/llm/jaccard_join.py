@@ -14,8 +14,9 @@ overlap from above. Pairs that pass are compared by an intersection of their sor
 A tile may hold a third of all documents. A task hands on one set of a tile only, beside the sets that it has found to be
 together, so that a hot tile is not gathered. In each round every tile compares its sets with one of them, the pivot,
 which then leaves the tile, and sets that are connected need no comparison any more. Rounds go on as long as they leave
-less than half of the pairs. The rest is cut into blocks of bounded size, which are compared two by two in the same way; a
-pair of blocks hands on as many links as connect its sets, not all that it finds.
+less than half of the pairs. The rest is cut into blocks of bounded size, which are compared two by two in the same way: by
+bitmaps alone first, which are a small part of the sets' bytes, so that only sets that some pair of their tile may need go on
+to the blocks with their shingles; a pair of blocks hands on as many links as connect its sets, not all that it finds.
 
 Defined results: words are split at ASCII white space after A-Z are lower-cased; a text with fewer words than a shingle is
 one shingle; a text without words, or null, has an empty set and is linked with nothing, not even its like. Shingles are
@@ -267,7 +268,11 @@ def members(docs: DataFrame, total: int, text: str = "text", words: int = WORDS,
     rows = own.mapInArrow(dealt, "bucket bigint, tiles binary, names binary")
     rows = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(met, "tile bigint, name bigint")
     rows = held(rows.distinct(), "tile-members")
-    # Of tiles with the same sets one is enough.
+    return held(_one_of_each(rows), "tiles")
+
+
+def _one_of_each(rows: DataFrame) -> DataFrame:
+    """The rows (tile, name, ...) without tiles that have the same sets as another: one of them is enough."""
     kinds = rows.groupBy("tile").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("name").alias("lo"),
@@ -275,7 +280,7 @@ def members(docs: DataFrame, total: int, text: str = "text", words: int = WORDS,
         F.sum(F.xxhash64("name").cast("decimal(38,0)")).alias("sum"),
     )
     one = kinds.groupBy("n", "lo", "hi", "sum").agg(F.min("tile").alias("tile")).select("tile")
-    return held(rows.join(one, "tile"), "tiles")
+    return rows.join(one, "tile")
 
 
 def _sets(docs: DataFrame, names: DataFrame, wanted: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
@@ -341,30 +346,17 @@ def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int] = LEAST)
     return both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(exactly, "a bigint, b bigint")
 
 
-def block_links(group: pa.Table, least: tuple[int, int] = LEAST) -> pa.Table:
-    """(a, b): similar sets of a block, or of two, by bitmaps first and then by shingles; as many as connect all of them.
-
-    Columns: i, j, own (the block of a row), name, root, n, bits, shingles. Sets of one root are connected already.
-    """
-    own, name, root, n = (group.column(c).to_numpy() for c in ("own", "name", "root", "n"))
+def _rough(group: pa.Table, least: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of block i and of block j, pair by pair: those of different roots whose sizes and bitmaps leave room to be similar."""
+    own, root, n = (group.column(c).to_numpy() for c in ("own", "root", "n"))
     bits = _rows_of(group.column("bits").combine_chunks())
-    sets = _rows_of(group.column("shingles").combine_chunks())
     widths = np.array([len(x) for x in bits])
-    at = np.unique(root, return_inverse=True)[1].tolist()
-    parent = list(range(len(name)))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
     i, j = (int(group.column(c)[0].as_py()) for c in "ij")
-    found = []
     for w in np.unique(widths):
         for v in np.unique(widths):
             left, right = np.flatnonzero((own == i) & (widths == w)), np.flatnonzero((own == j) & (widths == v))
-            if not len(left) or not len(right):
+            # In one block a pair is met from one side.
+            if not len(left) or not len(right) or (i == j and v < w):
                 continue
             x, y = np.array([bits[k] for k in left]), np.array([bits[k] for k in right])
             x, y = narrowed(x, min(w, v)), narrowed(y, min(w, v))
@@ -375,29 +367,76 @@ def block_links(group: pa.Table, least: tuple[int, int] = LEAST) -> pa.Table:
                 fit = root[left[p]] != root[right[q]]
                 small, large = np.minimum(n[left[p]], n[right[q]]), np.maximum(n[left[p]], n[right[q]])
                 fit &= least[1] * small >= least[0] * large
+                if i == j and w == v:
+                    fit &= p < q
                 p, q = p[fit], q[fit]
                 if not len(p):
                     continue
                 keep = may_overlap(x[p], y[q], n[left[p]], n[right[q]], least)
-                for a, b in zip(left[p[keep]].tolist(), right[q[keep]].tolist(), strict=True):
-                    a_root, b_root = find(at[a]), find(at[b])
-                    if a_root != b_root and similar(sets[a], sets[b], least):
-                        parent[a_root] = b_root
-                        found.append((int(min(name[a], name[b])), int(max(name[a], name[b]))))
+                yield left[p[keep]], right[q[keep]]
+
+
+def block_near(group: pa.Table, least: tuple[int, int] = LEAST) -> pa.Table:
+    """(tile, name, root): the rows of a block, or of two, that may be similar to another one by their bitmaps.
+
+    Columns: tile, i, j, own (the block of a row), name, root, n, bits. Sets of one root are connected already.
+    """
+    near = np.zeros(group.num_rows, bool)
+    for a, b in _rough(group, least):
+        near[a] = near[b] = True
+    return group.select(["tile", "name", "root"]).filter(pa.array(near))
+
+
+def block_links(group: pa.Table, least: tuple[int, int] = LEAST) -> pa.Table:
+    """(a, b): similar sets of a block, or of two, by bitmaps first and then by shingles; as many as connect all of them.
+
+    Columns: i, j, own (the block of a row), name, root, n, bits, shingles. Sets of one root are connected already.
+    """
+    name, root = group.column("name").to_numpy(), group.column("root").to_numpy()
+    sets = _rows_of(group.column("shingles").combine_chunks())
+    at = np.unique(root, return_inverse=True)[1].tolist()
+    parent = list(range(len(name)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found = []
+    for left, right in _rough(group, least):
+        for a, b in zip(left.tolist(), right.tolist(), strict=True):
+            a_root, b_root = find(at[a]), find(at[b])
+            if a_root != b_root and similar(sets[a], sets[b], least):
+                parent[a_root] = b_root
+                found.append((int(min(name[a], name[b])), int(max(name[a], name[b]))))
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
-def _blocked(rows: DataFrame, sets: DataFrame, least: tuple[int, int], block: int) -> DataFrame:
-    """(a, b): links between sets of rows (tile, name, root) of tiles with sets that are not connected."""
+def _in_blocks(rows: DataFrame, sets: DataFrame, columns: list[str], block: int) -> DataFrame:
+    """rows (tile, name, root) with their sets' columns, once for each pair of blocks (i, j) of the tile that a row's own is in."""
+    each = 8 if "shingles" in columns else 1 / 4
     sized = rows.join(sets.select("name", "n"), "name")
-    wanted = F.greatest(F.count(F.lit(1)) / block, 8 * F.sum("n") / BLOCK_BYTES)
+    wanted = F.greatest(F.count(F.lit(1)) / block, each * F.sum("n") / BLOCK_BYTES)
     cuts = sized.groupBy("tile").agg(F.ceil(wanted).cast("int").alias("cuts"))
     left = among(sets, rows.select("name").distinct())
-    own = rows.join(cuts, "tile").join(left.select("name", "n", "bits", "shingles"), "name")
+    own = rows.join(cuts, "tile").join(left.select("name", *columns), "name")
     own = own.withColumn("own", F.pmod(F.xxhash64("name", "tile"), "cuts").cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    own = own.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "name", "root", "n", "bits", "shingles")
-    return own.groupBy("tile", "i", "j").applyInArrow(lambda group: block_links(group, least), "a bigint, b bigint")
+    return own.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "name", "root", *columns)
+
+
+def _blocked(rows: DataFrame, sets: DataFrame, least: tuple[int, int], block: int) -> DataFrame:
+    """(a, b): links between sets of rows (tile, name, root) of tiles with sets that are not connected."""
+    keys = ("tile", "i", "j")
+    # Bitmaps are few bytes for the comparisons that they take, so partitions by bytes would be too few.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = _in_blocks(rows, sets, ["n", "bits"], block).repartition(parts, *keys).groupBy(*keys)
+    near = pairs.applyInArrow(lambda group: block_near(group, least), "tile bigint, name bigint, root bigint")
+    # Shingles are most of the sets' bytes, and a set goes to the blocks once for each of its tiles.
+    near = held(_one_of_each(held(near.distinct(), "near-members")), "near-tiles")
+    pairs = _in_blocks(near, sets, ["n", "bits", "shingles"], block).groupBy(*keys)
+    return pairs.applyInArrow(lambda group: block_links(group, least), "a bigint, b bigint")
 
 
 def roots(tiled: DataFrame, sets: DataFrame, least: tuple[int, int] = LEAST, block: int = BLOCK) -> DataFrame | None:

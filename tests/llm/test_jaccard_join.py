@@ -155,3 +155,38 @@ def test_sets_that_no_pair_needs_are_left_out_before_the_join(spark):
     own = {r.n for r in m.among(sets, names).collect()}
     assert {r.n for r in sets.join(names, "name").collect()} <= own and len(own) < 200
     assert m.among(sets, names.limit(0)).count() == 0
+
+
+def test_sets_that_no_pair_of_a_tile_needs_go_to_no_block_with_their_shingles(spark, monkeypatch):
+    """Texts of a family share tiles and are not similar, but for two of them."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 5000, 120).tolist()
+    texts = [edited(rng, base, 5) for _ in range(60)]
+    texts.append(edited(rng, texts[0], 2))
+    docs = [(k, " ".join(f"w{x}" for x in t)) for k, t in enumerate(texts)]
+    rows, held = {}, m.held
+
+    def counted(df, label):
+        out = held(df, label)
+        rows[label] = out.count()
+        return out
+
+    monkeypatch.setattr(m, "held", counted)
+    want = brute(docs)
+    assert got(m.groups(spark.createDataFrame(docs, "doc_id long, text string"))) == want
+    assert rows["open-tiles"] > 50 and rows["near-tiles"] < rows["open-tiles"] / 4
+
+
+def test_block_near_keeps_the_rows_that_block_links_needs():
+    rng = np.random.default_rng(8)
+    own = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (40, 63, 200, 500)]
+    own += [np.concatenate([own[1], own[0][:3]]), own[2][5:]]
+    rows = {
+        "tile": [9] * 6, "i": [0] * 6, "j": [1] * 6, "own": [0, 0, 0, 0, 1, 1], "name": list(range(6)), "root": list(range(6)),
+        "n": [len(x) for x in own], "bits": [m.bitmap(np.unique(x)) for x in own],
+    }
+    assert sorted(r["name"] for r in m.block_near(pa.table(rows)).to_pylist()) == [1, 2, 4, 5]
+    inside = pa.table(rows | {"j": [0] * 6, "own": [0] * 6})
+    assert sorted(r["name"] for r in m.block_near(inside).to_pylist()) == [1, 2, 4, 5]
+    one = pa.table(rows | {"root": [0, 1, 2, 3, 1, 2]})
+    assert m.block_near(one).num_rows == 0
