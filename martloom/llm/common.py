@@ -39,6 +39,12 @@ def held(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def merged(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join that sends no rows to the driver. By the size of compressed files, which is all that is known of what
+    `held` wrote, Spark would broadcast tables that take many times its threshold in memory."""
+    return left.hint("merge").join(right, on, how)
+
+
 def text_of(name: str = "text") -> Column:
     """A text column with null as empty text."""
     return F.coalesce(F.col(name), F.lit(""))

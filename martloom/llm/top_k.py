@@ -8,7 +8,8 @@ bound; the rest is multiplied exactly, as whole numbers. The block of the longes
 scores go to all other blocks as the queries' first thresholds.
 
 Every query block meets every candidate block once, so work grows with queries times candidates, in blocks; no row of a
-pair is made but the k best of each block. Queries, a hundredth of the rows, are what is sent to the blocks.
+pair is made but the k best of each block. Queries, a hundredth of the rows, are what is sent to the blocks, by a shuffle;
+of vectors, only the block of the longest passes through the driver.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part, as queries or candidates. Only
 vectors of one dimension are compared. A candidate with the query's own id is the query's own row. Repeated rows are
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import held
+from martloom.llm.common import held, merged
 
 K = 10
 SCALE = 1024
@@ -210,7 +211,8 @@ def _of_dimension(vectors: DataFrame, queries: DataFrame, d: int, k: int, block:
                     )
 
     kind = "query bigint, query_id bigint, vec_id bigint, score bigint"
-    first = candidates.join(asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(0)))), "block")
+    # One row, a block of the longest vectors, is broadcast; the query blocks stay where they are.
+    first = asked.crossJoin(F.broadcast(candidates.filter("block = 0")))
     best = held(first.withColumn("least", F.lit(None).cast("binary")).mapInArrow(search, kind), "first-best")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     kth = best.withColumn("n", F.row_number().over(order)).filter(F.col("n") == k)
@@ -238,4 +240,5 @@ def _of_dimension(vectors: DataFrame, queries: DataFrame, d: int, k: int, block:
     if last < 1:
         return best
     sent = limited.withColumn("block", F.explode(F.sequence(F.lit(1), F.lit(last))))
-    return best.union(candidates.join(sent, "block").mapInArrow(search, kind))
+    # There are as many copies of the query blocks as candidate blocks, which the estimate of their size knows nothing of.
+    return best.union(merged(sent, candidates, "block").mapInArrow(search, kind))

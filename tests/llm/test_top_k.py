@@ -44,3 +44,14 @@ def test_fewer_candidates_and_empty_table(spark):
     assert found(spark, rows, 10, 100) == brute(rows, 10, 100)
     assert found(spark, [], 10, 100) == []
     assert found(spark, [(0, None)], 10, 100) == []
+
+
+def test_copies_of_the_queries_do_not_pass_through_the_driver(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(300)]
+    v = m.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = m.top_k(v, v.filter("vec_id % 10 = 0"), k=3, block=32, query_block=8)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # A copy for each block of candidates.
+    assert "Generate explode" in plan and "Broadcast" not in plan
+    assert sorted(map(tuple, found.collect())) == brute(rows, 3, 10)
