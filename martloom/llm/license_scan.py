@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import held, text_of
+from martloom.llm.common import held, merged, text_of
 
 #: Public licence notices by family.
 NOTICES = {
@@ -327,7 +327,7 @@ def _wrapped(texts: DataFrame) -> DataFrame:
     one = ["row", "notice"]
     enough = F.col("n") >= LEAST_SHARED * F.col("of")
     complete = found.groupBy(*one, "of").agg(F.count_distinct("pair").alias("n")).filter(enough).select(*one)
-    found = found.join(complete, one)
+    found = merged(found, complete, one)
     # Neighbouring lines that each begin or end one of the notice's pairs.
     touched = found.select(*one, F.explode(F.array("at", "end")).alias("at")).distinct()
     order = Window.partitionBy(*one).orderBy("at")
@@ -376,15 +376,16 @@ def scan(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text
     single = texts.select("row", F.posexplode("lines").alias("paragraph", "line")).withColumn("size", F.lit(1))
     single = held(_classified(single.filter(_has(F.lower("line"), deciding)), model), "licence-lines")
     cover = F.expr("array_join(slice(lines, paragraph + 1, size), '\n')").alias("line")
-    joined = texts.join(_wrapped(texts), "row").select(*key, cover)
+    joined = merged(texts, _wrapped(texts), "row").select(*key, cover)
     wrapped = held(_classified(joined, model).filter(F.col("shared") >= LEAST_SHARED), "licence-wraps")
     whole = single.filter(F.col("shared") == 1).select("row", F.col("paragraph").alias("at"))
     over = (F.col("at") >= F.col("paragraph")) & (F.col("at") < F.col("paragraph") + F.col("size"))
-    with_whole = wrapped.join(whole, "row").filter(over).select(*key).distinct()
-    wrapped = held(_apart(wrapped.join(with_whole, key, "left_anti")), "licence-apart")
-    inside = single.select("row", F.col("paragraph").alias("at")).join(wrapped.select(*key), "row").filter(over)
-    alone = single.join(inside.select("row", F.col("at").alias("paragraph")).distinct(), ["row", "paragraph"], "left_anti")
-    found = alone.drop("line").unionByName(wrapped).join(texts, "row").select("doc_id", "paragraph", cover, "family", "probability", "shared")
+    with_whole = merged(wrapped, whole, "row").filter(over).select(*key).distinct()
+    wrapped = held(_apart(merged(wrapped, with_whole, key, "left_anti")), "licence-apart")
+    inside = merged(single.select("row", F.col("paragraph").alias("at")), wrapped.select(*key), "row").filter(over)
+    alone = merged(single, inside.select("row", F.col("at").alias("paragraph")).distinct(), ["row", "paragraph"], "left_anti")
+    found = merged(alone.drop("line").unionByName(wrapped), texts, "row")
+    found = found.select("doc_id", "paragraph", cover, "family", "probability", "shared")
     return plain.unionByName(found).select(
         "doc_id",
         "paragraph",

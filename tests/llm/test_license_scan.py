@@ -112,3 +112,33 @@ def test_most_of_a_notice_has_a_needed_word():
             some = rng.choice(pairs, least, replace=False)
             assert any(w in " ".join(some) for w in needed)
     assert len(needed) < 60
+
+
+def test_rows_of_files_are_not_broadcast_by_their_compressed_size(spark, documents, monkeypatch):
+    plans, held, threshold = {}, m.held, "spark.sql.autoBroadcastJoinThreshold"
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return held(df, label)
+
+    notice = m.NOTICES["MIT"][2]
+    texts = ["\n".join(["All rights reserved.", *textwrap.wrap(notice, 60)] * 50)] * 20
+    monkeypatch.setattr(m, "held", seen)
+    before = spark.conf.get(threshold)
+    # Above the size of all files, far below that of what is read from them.
+    spark.conf.set(threshold, "50k")
+    try:
+        df = documents(texts)
+        found = m.scan(df, m.train(df.limit(0)))
+        plans["found"] = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.filter("confirmed").collect()
+    finally:
+        spark.conf.set(threshold, before)
+    assert len(rows) == 2 * 50 * 20 and {r.family for r in rows} == {"All rights reserved", "MIT"}
+    for plan in plans.values():
+        lines = plan.splitlines()
+        for k, line in enumerate(lines):
+            if "BroadcastExchange" in line:
+                depth = line.index("BroadcastExchange")
+                below = next((n for n in range(k + 1, len(lines)) if re.search(r"\w", lines[n]).start() <= depth), len(lines))
+                assert "FileScan" not in "".join(lines[k:below]), plan
